@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id in the upper 31 bits
 
 
@@ -30,6 +32,10 @@ def dense_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: st
     ranged = (df.repartitionByRange(int(nparts), *[F.col(c) for c in by], *order_cols)
               .sortWithinPartitions(*[F.col(c) for c in by], *order_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds are sampled per exchange, so the two uses below (counts, rows) must read one
+    # materialisation: a reliable checkpoint in the shared checkpoint folder (survives executor loss).
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
     counts = ranged.groupBy(*by, "_pid").agg(F.min("_mid").alias("_first"), F.count("*").alias("_n"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
