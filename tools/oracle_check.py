@@ -25,9 +25,17 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def norm(v):
     if v is None:
         return None
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, int):
+        return v
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if math.isinf(v):
+            return str(v)
+        if v.is_integer():
+            return int(v)
         return round(v, 6) + 0.0
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
