@@ -63,3 +63,26 @@ def rolling_in_chunks(df: DataFrame, by: Sequence[str], index_col: str, overlap:
     both = base.withColumn("_ctx", F.lit(False)).unionByName(ctx)
     w = Window.partitionBy(*by, "_chunk").orderBy(index_col)
     return compute(both, w).where(~F.col("_ctx")).drop("_chunk", "_ctx")
+
+
+def prefix_sums(df: DataFrame, order: Sequence[str], cols: Sequence[str], suffix: str = "_cum",
+                num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``cols`` in a global ``order`` without a one-partition window.
+
+    Range partitions are summed locally (a window per range partition), and each partition adds
+    the totals of the partitions before it (a table with one row per partition).
+    """
+    nparts = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(nparts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True).withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+    wl = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(wl).alias(f"_l_{c}") for c in cols])
+    tot = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wp = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wp), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    out = local.join(offs, "_pid")
+    for c in cols:
+        out = out.withColumn(f"{c}{suffix}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
+    return out.drop("_mid", "_pid", *[f"_l_{c}" for c in cols], *[f"_o_{c}" for c in cols])

@@ -45,4 +45,5 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     import tidemark.plans.catalog  # noqa: F401  (registers every query)
     import tidemark.plans.catalog_market  # noqa: F401
     import tidemark.plans.catalog_trading  # noqa: F401
+    import tidemark.plans.catalog_eval  # noqa: F401
     return REGISTRY
