@@ -96,6 +96,24 @@ def decile_accuracy(df: DataFrame, threshold: float = 0.5) -> DataFrame:
                                 .alias("bin_mid")).withColumn("bin", F.col("bin").cast("long"))
 
 
+def grid_rank(x, values, strict: bool = True):
+    """Number of grid values below x (``strict``) or at most x, for an evenly spaced grid.
+
+    An arithmetic guess is corrected by one step against the exact grid values (the guess can be
+    off by one only through rounding), so no per-row higher-order function is needed and the
+    expression stays in whole-stage codegen.
+    """
+    n = len(values)
+    start, step = values[0], values[1] - values[0]
+    arr = F.array(*[F.lit(v) for v in values])
+    at = lambda k: F.element_at(arr, (k + 1).cast("int"))  # noqa: E731  (0-based)
+    raw = (x - F.lit(start)) / F.lit(step)
+    k = F.least(F.greatest(F.ceil(raw) if strict else F.floor(raw) + 1, F.lit(0)), F.lit(n)).cast("long")
+    below = (lambda v: v < x) if strict else (lambda v: v <= x)
+    k = F.when((k > 0) & ~below(at(k - 1)), k - 1).when((k < n) & below(at(k)), k + 1).otherwise(k)
+    return k
+
+
 def trade_pnl(df: DataFrame, fee: float = FLAT_FEE) -> DataFrame:
     """Per row: edge size, side by sign, PnL of buying that side at its ask with a flat fee."""
     e = F.col("p_hat") - F.col("mid")
@@ -112,10 +130,8 @@ def threshold_grid(df: DataFrame, taus=GRID_TAUS, sigmas=GRID_SIGMAS) -> DataFra
     (ti, si) and cells are 2-D prefix sums over that (len(taus)+1) x (len(sigmas)+1) table.
     """
     t = trade_pnl(df)
-    tarr = F.array(*[F.lit(v) for v in taus])
-    sarr = F.array(*[F.lit(v) for v in sigmas])
-    t = t.select(F.size(F.filter(tarr, lambda v: v < F.col("_a"))).alias("ti"),
-                 F.size(F.filter(sarr, lambda v: v <= F.col("p_std"))).alias("si"), "_pnl")
+    t = t.select(grid_rank(F.col("_a"), taus, strict=True).alias("ti"),
+                 grid_rank(F.col("p_std"), sigmas, strict=False).alias("si"), "_pnl")
     b = t.groupBy("ti", "si").agg(F.count(F.lit(1)).alias("n"), F.sum("_pnl").alias("pnl"),
                                   F.count_if(F.col("_pnl") > 0).alias("wins"))
     nt, ns = len(taus), len(sigmas)
@@ -142,7 +158,7 @@ def tau_sweep(df: DataFrame, taus=SWEEP_TAUS) -> DataFrame:
     """The grid without the sigma filter (suffix sums over tau buckets)."""
     t = trade_pnl(df)
     tarr = F.array(*[F.lit(v) for v in taus])
-    t = t.select(F.size(F.filter(tarr, lambda v: v < F.col("_a"))).alias("ti"), "_pnl").where("ti >= 1")
+    t = t.select(grid_rank(F.col("_a"), taus, strict=True).alias("ti"), "_pnl").where("ti >= 1")
     b = t.groupBy((F.col("ti") - 1).alias("i")).agg(F.count(F.lit(1)).alias("n"), F.sum("_pnl").alias("pnl"),
                                                     F.count_if(F.col("_pnl") > 0).alias("wins"))
     grid = df.sparkSession.range(len(taus)).select(F.col("id").cast("int").alias("i"))
