@@ -22,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 DAY_US = 86_400 * 1_000_000
 
 
@@ -39,8 +41,12 @@ def _micros(c: str):
 
 
 def asof_join(left: DataFrame, rights: list[AsofRight] | AsofRight, left_time: str,
-              by: list[str] | tuple = (), bucket_us: int = DAY_US) -> DataFrame:
-    """Backward, inclusive as-of join of ``left`` with one or more right sides."""
+              by: list[str] | tuple = (), bucket_us: int = DAY_US, materialize: bool = False) -> DataFrame:
+    """Backward, inclusive as-of join of ``left`` with one or more right sides.
+
+    ``materialize``: the unioned input is read twice (carry-in aggregate and main window); with deep
+    input lineage, checkpoint it once to the shared checkpoint folder instead of recomputing it.
+    """
     if isinstance(rights, AsofRight):
         rights = [rights]
     by = list(by)
@@ -71,6 +77,9 @@ def asof_join(left: DataFrame, rights: list[AsofRight] | AsofRight, left_time: s
     for p in parts[1:]:
         u = u.unionByName(p)
     u = u.withColumn("_b", bucket(F.col("_t")))
+    if materialize:
+        ensure_checkpoint_dir(u.sparkSession)
+        u = u.checkpoint(eager=True)
     keys = [f"_k{i}" for i in range(len(by))]
 
     # Carry-in: last payload per (keys, bucket), then running last over earlier buckets.

@@ -20,6 +20,7 @@ from tidemark.operators.clean import (EVENT_COLS, clean_kalshi, clean_trades, de
                                       fill_within, prepare_trades, prepare_training_frame)
 from tidemark.operators.ordering import dense_index, rolling_in_chunks
 from tidemark.operators.windows import rolling_full
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.testviews import COINS, UNIT_US
 
 QUOTE_FEATURES = [
@@ -162,12 +163,16 @@ def btc_feature_table(kalshi: DataFrame, trades: DataFrame, unit_us: int = UNIT_
                       others: Sequence[str] = ("ETH", "XRP", "SOL")) -> DataFrame:
     """Q6 (flagship): BTC ticks + as-of cross-coin features (J2) + as-of spot bar features."""
     feats = coin_features(kalshi, trades, ["BTC", *others], add_target=True, unit_us=unit_us)
+    # The all-coin feature rows feed four as-of sides; materialise them once (reliable checkpoint
+    # in the shared checkpoint folder) instead of recomputing the windows per side.
+    ensure_checkpoint_dir(feats.sparkSession)
+    feats = feats.checkpoint(eager=True)
     btc = with_outcome(coin_frame(feats, "BTC", prefix=False, add_target=True))
     rights = [AsofRight(coin_frame(feats, c, include_event_metadata=False, include_time_to_close=False),
                         "curr_time", [f"{c}_{f}" for f in QUOTE_FEATURES]) for c in others]
     spot = spot_features(trades, "BTC", unit_us).drop("coin")
     rights.append(AsofRight(spot, "trade_time", SPOT_FEATURES))
-    out = asof_join(btc, rights, "curr_time")
+    out = asof_join(btc, rights, "curr_time", materialize=True)
     return out.fillna(0.0, subset=SPOT_FEATURES[1:])
 
 
