@@ -39,7 +39,7 @@ PRE_TOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p
 #: A space or line feed after white space: cutting before it could change the pre-tokens.
 _DOUBLE = re.compile(rf"[{_WS}][ \n]")
 #: Pieces that a task remembers before it starts afresh.
-MEMO = 600_000
+MEMO = 400_000
 #: Longer pieces are not remembered.
 MEMO_CHARS = 64
 
@@ -119,7 +119,7 @@ class Bpe:
                 bound, a = a, self.right[a]
             else:
                 bound, b = b + 1, self.left[b]
-        if len(self.follows) >= 4 * MEMO:
+        if len(self.follows) >= MEMO:
             self.follows.clear()
         self.follows[key] = fits
         return fits
