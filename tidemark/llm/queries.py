@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, langid, quality, tokencount, urlfilter, warc
+from tidemark.llm import bpe, chat, langid, ngramjoin, quality, tokencount, urlfilter, warc
 from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -129,3 +129,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.format_conversations(rows.unionByName(hostile)))
+
+
+@query("op8_ngram_jaccard")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document (no SQL form that would end; tests hold it against brute force)."""
+    return ngramjoin.similar(table(spark, sf_dir, "documents"))
