@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, langid, ngramjoin, quality, tokencount, urlfilter, warc
+from tidemark.llm import bpe, chat, langid, mixing, ngramjoin, quality, tokencount, urlfilter, warc
 from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document (no SQL form that would end; tests hold it against brute force)."""
     return ngramjoin.similar(table(spark, sf_dir, "documents"))
+
+
+@query("op9_mix_sources")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block, release, deadline and slot of every document (no SQL form; tests check the deviation)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.scheduled(docs).select("doc_id", "source", "block", "release", "deadline", "slot", "place")
