@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, langid, mixing, ngramjoin, quality, tokencount, urlfilter, warc
+from tidemark.llm import bpe, chat, fingerprint, langid, mixing, ngramjoin, quality, tokencount, urlfilter, warc
 from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -142,3 +142,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block, release, deadline and slot of every document (no SQL form; tests check the deviation)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.scheduled(docs).select("doc_id", "source", "block", "release", "deadline", "slot", "place")
+
+
+@query("op2_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness (no SQL form: the sketch)."""
+    return fingerprint.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
