@@ -108,11 +108,14 @@ class Profiles:
 
 
 def learning_rows(docs: DataFrame, lang: str, key: Column, per_language: int) -> DataFrame:
-    """Labelled rows, thinned by a hash of ``key`` to about ``per_language`` for each language."""
-    counts = docs.groupBy(F.col(lang).alias("__lang")).agg(F.count("*").alias("__n"))
+    """Labelled rows, thinned by a hash of ``key`` to about ``per_language`` for each language. The counts, a
+    row per language, become constants of the filter, so no text is shuffled."""
+    counts = {r[0]: r[1] for r in docs.groupBy(lang).agg(F.count("*")).collect()}
     share = F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
-    return (docs.join(counts, F.col(lang) == F.col("__lang"))
-            .where(share < F.lit(float(per_language)) / F.col("__n")).drop("__lang", "__n"))
+    keep = F.lit(False)
+    for name, n in counts.items():
+        keep = keep | ((F.col(lang) == name) & (share < per_language / n))
+    return docs.where(keep)
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", dim: int = DIM,
