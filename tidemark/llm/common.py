@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,15 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def sheltered(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns that ``names`` would clash with under other names, and a function that gives a
+    result the columns of ``df`` again."""
+    taken = {n.lower() for n in names}
+    other = {c: f"__td_kept_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    back = [F.col(f"`{other.get(c, c)}`").alias(c) for c in df.columns]
+    return df.withColumnsRenamed(other), lambda out: out.select(*back)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

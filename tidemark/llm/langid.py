@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import added, slices, texts_of, with_columns, without
+from tidemark.llm.common import added, sheltered, slices, texts_of, with_columns, without
 
 DIM = 512
 N = 3
@@ -180,3 +180,13 @@ def identify(docs: DataFrame) -> DataFrame:
     model = learn(docs.where(~held_out()))
     return (predict(docs.select("doc_id", "text"), model)
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` whose text has a language; ``und`` goes. Without any label nothing
+    can be learned and all rows stay."""
+    model = learn(docs.where(~held_out()))
+    if not model.languages:
+        return docs
+    docs, restored = sheltered(docs, ["lang_pred", "score"])
+    return restored(predict(docs, model).where(F.col("lang_pred") != UNKNOWN))

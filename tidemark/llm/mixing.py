@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import without
+from tidemark.llm.common import sheltered, without
 
 BLOCK = 64
 PERIOD = 1000
@@ -41,14 +41,17 @@ BROADCAST_SLOTS = 1 << 20
 # --- the schedule, from the table of sources
 def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
     """Blocks per period, in proportion to the weights: at least one each, ``period`` in all (or one each,
-    where there are more sources); largest remainders first, ties by name."""
+    where there are more sources); the largest remainders are rounded up, ties by name."""
     period = max(period, len(weights))
     total = sum(weights.values())
-    spare = period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[:period - sum(out.values())]:
-        out[s] += 1
+    exact = {s: w / total * period for s, w in weights.items()}
+    out = {s: max(1, math.floor(x)) for s, x in exact.items()}
+    step = 1 if sum(out.values()) < period else -1
+    order = sorted(exact, key=lambda s: (step * (out[s] - exact[s]), s))  # the farthest off first
+    while sum(out.values()) != period:
+        for s in order:
+            if sum(out.values()) != period and out[s] + step >= 1:
+                out[s] += step
     return out
 
 
@@ -171,9 +174,9 @@ def scheduled(docs: DataFrame, source: str = "source", weights: Mapping[str | No
 def mixed(docs: DataFrame, source: str = "source") -> DataFrame:
     """The rows and columns of ``docs`` in the order of the schedule: every partition holds runs of
     consecutive slots, in order."""
+    docs, restored = sheltered(docs, ["block", "release", "deadline", "slot", "place"])
     placed = scheduled(docs, source)
     runs = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = [F.col(f"`{c}`") for c in docs.columns]
     per = 16  # slots in a run
     dealt = placed.withColumn("__run", F.expr(f"slot div {per}")).repartition(runs, "__run")
-    return dealt.sortWithinPartitions("slot", "place").select(*names)
+    return restored(dealt.sortWithinPartitions("slot", "place"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import added, slices, texts_of, with_columns, without, written
+from tidemark.llm.common import added, sheltered, slices, texts_of, with_columns, without, written
 
 #: Fixed values of the rules.
 SPACES = " \t\n\r\x0b\x0c"
@@ -105,4 +105,5 @@ def keep(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows and columns of ``docs`` that the rules keep. Texts are measured twice - for the hosts, then
     for the rows - rather than shuffled or stored."""
     rejected = rejected_hosts(measured(docs.select(host, "text")).drop("text"), host)
-    return with_verdict(measured(docs), rejected, host).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    docs, restored = sheltered(docs, [*MEASURES, "base_failed", "kept"])
+    return restored(with_verdict(measured(docs), rejected, host).where("kept"))
