@@ -5,7 +5,8 @@ window per (ticker, side) or a join, in closed form:
 
 * held contracts after each fill: X - least(0, running min X) with X the running signed quantity
   (sells beyond the holding are capped, as the position tracker does);
-* average entry: buys since the last time the holding was zero (a full close resets it);
+* average entry of the contracts still held: a partial sell takes cost out at the average, a full close
+  resets it;
 * FIFO (L8): buys and *effective* sells become intervals on the cumulative-quantity axis of their
   key; every overlap of a buy interval and a sell interval is one matched lot of that length.
   The overlap join runs on (key, quantity bucket), keeping the pair only in the bucket holding
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.market import taker_fee
 
 KEY = ["ticker", "side"]
+SCALE_BLOCK = 300.0
 
 
 def running_position(fills: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -37,11 +39,22 @@ def running_position(fills: DataFrame, order: Sequence[str]) -> DataFrame:
     # segment = number of earlier fills after which nothing was held; a buy after a full close starts afresh
     f = f.withColumn("_seg", F.coalesce(F.sum((F.col("held") == 0).cast("int")).over(
         Window.partitionBy(*KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # Cost of the holding: a buy adds price x contracts, a sell scales the cost by held after / held before.
+    # With G the running product of these ratios, cost = G x sum over buys of price x contracts / G at the
+    # buy. G is kept as a logarithm in blocks of SCALE_BLOCK, so that long histories neither overflow nor
+    # underflow: a block before the last one weighs less than exp(-SCALE_BLOCK) and is left out.
     ws = Window.partitionBy(*KEY, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    buy_q = F.when(F.col("action") == "buy", F.col("contracts")).otherwise(F.lit(0.0))
-    f = f.withColumn("_bq", F.sum(buy_q).over(ws)).withColumn("_bpq", F.sum(buy_q * F.col("price")).over(ws))
-    f = f.withColumn("avg_price", F.when((F.col("held") > 0) & (F.col("_bq") > 0), F.col("_bpq") / F.col("_bq")))
-    return f.drop("_x", "_X", "_prev_held", "_seg", "_bq", "_bpq")
+    partial = (F.col("effective_sell") > 0) & (F.col("held") > 0)
+    f = f.withColumn("_L", F.sum(F.when(partial, F.log(F.col("held") / F.col("_prev_held"))).otherwise(F.lit(0.0))).over(ws))
+    f = f.withColumn("_blk", F.floor(-F.col("_L") / SCALE_BLOCK).cast("long"))
+    wb = Window.partitionBy(*KEY, "_seg", "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    spent = F.when(F.col("action") == "buy", F.col("contracts") * F.col("price")).otherwise(F.lit(0.0))
+    f = f.withColumn("_S", F.sum(spent * F.exp(-F.col("_blk") * SCALE_BLOCK - F.col("_L"))).over(wb))
+    before = F.max("_S").over(Window.partitionBy(*KEY, "_seg").orderBy("_blk").rangeBetween(-1, -1))
+    own = F.exp(F.col("_L") + F.col("_blk") * SCALE_BLOCK) * F.col("_S")
+    cost = own + F.coalesce(F.exp(F.col("_L") + (F.col("_blk") - 1) * SCALE_BLOCK) * before, F.lit(0.0))
+    f = f.withColumn("avg_price", F.when(F.col("held") > 0, cost / F.col("held")))
+    return f.drop("_x", "_X", "_prev_held", "_seg", "_L", "_blk", "_S")
 
 
 def positions(fills: DataFrame, order: Sequence[str]) -> DataFrame:

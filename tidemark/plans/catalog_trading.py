@@ -16,7 +16,7 @@ from tidemark.sources.testviews import FILL_ORDER, VIEW_SQL
 
 
 def W(parts):
-    return "WITH " + ",\n".join(parts)
+    return "WITH RECURSIVE " + ",\n".join(parts)
 
 
 def FEE(p):
@@ -284,21 +284,20 @@ def g12_limit_cents(spark, d):
 
 
 # ---------------------------------------------------------------- L: ledger
-_RP = f"""rp0 AS (
-  SELECT *, X - least(0, min(X) OVER w) AS held FROM (
-    SELECT *, sum(CASE WHEN action = 'buy' THEN contracts ELSE -contracts END) OVER w AS X FROM fills
-    WINDOW w AS (PARTITION BY ticker, side ORDER BY {ORD} ROWS UNBOUNDED PRECEDING))
-  WINDOW w AS (PARTITION BY ticker, side ORDER BY {ORD} ROWS UNBOUNDED PRECEDING)),
-rp1 AS (
-  SELECT *, CASE WHEN action = 'sell' THEN coalesce(lag(held) OVER (PARTITION BY ticker, side ORDER BY {ORD}), 0) - held ELSE 0 END AS effective_sell,
-         coalesce(sum(CAST(held = 0 AS INTEGER)) OVER (PARTITION BY ticker, side ORDER BY {ORD}
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
-  FROM rp0),
-rp AS (
-  SELECT *, CASE WHEN held > 0 AND bq > 0 THEN bpq / bq END AS avg_price FROM (
-    SELECT *, sum(CASE WHEN action = 'buy' THEN contracts ELSE 0 END) OVER ws AS bq,
-              sum(CASE WHEN action = 'buy' THEN contracts ELSE 0 END * price) OVER ws AS bpq
-    FROM rp1 WINDOW ws AS (PARTITION BY ticker, side, seg ORDER BY {ORD} ROWS UNBOUNDED PRECEDING)))"""
+# The oracle folds fill by fill: a recursive query, one step per fill of a (ticker, side).
+_RP = f"""numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY ticker, side ORDER BY {ORD}) AS rn FROM fills),
+fold AS (
+  SELECT ticker, side, rn, CASE WHEN action = 'buy' THEN contracts ELSE 0 END AS held,
+         CASE WHEN action = 'buy' THEN price END AS avg_price, CAST(0 AS DOUBLE) AS effective_sell FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.ticker, n.side, n.rn, CASE WHEN action = 'buy' THEN f.held + contracts ELSE greatest(0, f.held - contracts) END,
+         CASE WHEN action = 'buy' THEN (coalesce(f.avg_price, 0) * f.held + price * contracts) / (f.held + contracts)
+              WHEN f.held > contracts THEN f.avg_price END,
+         CASE WHEN action = 'sell' THEN least(f.held, contracts) ELSE CAST(0 AS DOUBLE) END
+  FROM fold f JOIN numbered n ON n.ticker = f.ticker AND n.side = f.side AND n.rn = f.rn + 1),
+rp AS MATERIALIZED (
+  SELECT n.* EXCLUDE (rn), f.held, f.avg_price, f.effective_sell FROM numbered n JOIN fold f USING (ticker, side, rn))"""
 _POS = f"""pos AS (
   SELECT ticker, side, held AS contracts, avg_price FROM rp
   QUALIFY row_number() OVER (PARTITION BY ticker, side ORDER BY {", ".join(c + " DESC" for c in FILL_ORDER)}) = 1)"""
@@ -367,7 +366,7 @@ def l7_position_snapshot(spark, d):
                                         F.abs("net").alias("contracts"), F.lit(0.5).alias("avg_price"))
 
 
-_LOTS = f"""iv AS (
+_LOTS = f"""iv AS MATERIALIZED (
   SELECT *, sum(CASE WHEN action = 'buy' THEN contracts ELSE 0 END) OVER w AS B, sum(effective_sell) OVER w AS S FROM rp
   WINDOW w AS (PARTITION BY ticker, side ORDER BY {ORD} ROWS UNBOUNDED PRECEDING)),
 lots AS (
