@@ -138,7 +138,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     parts = rows.mapInArrow(run, "lang string, v array<bigint>").select("lang", F.posexplode("v").alias("i", "x"))
     found: dict[str, np.ndarray] = {}
-    for r in parts.groupBy("lang", "i").agg(F.sum("x").alias("x")).toLocalIterator():
+    for r in parts.groupBy("lang", "i").agg(F.sum("x").alias("x")).collect():
         found.setdefault(r["lang"], np.zeros(dim))[r["i"]] = r["x"]
     found = {k: v for k, v in found.items() if v.any()}
     languages = tuple(sorted(found))

@@ -8,7 +8,8 @@ the smallest document that links lead to.
    Any order common to all documents gives the same links; the sketch only makes prefixes selective.
 3. Of a set of n shingles, the rarest n - ceil(0.75 n) + 1 form its prefix: linked sets share a prefix
    shingle. Prefix rows are dealt out by shingle, a task's equal sets once. Shingles that a single class
-   has go at once.
+   has go at once; shingles that the same classes have - a passage, a copied text - are one from here on,
+   with the earliest place of each class.
 4. A shingle's classes are first paired with one leader only, which is linear in the rows. After the length
    and positional filters, a pair is verified once, with a suffix filter and then the whole sets.
 5. Within a shingle, classes that the verified links have not yet joined are then paired with each other -
@@ -72,7 +73,8 @@ def digest_of(s: np.ndarray) -> bytes:
 
 
 def name_of(digest: bytes) -> int:
-    """48 bits of a digest. Two sets of one name only give candidates that verification refuses."""
+    """48 bits of a digest, to find candidates by. Unrelated sets of one name only give candidates that
+    verification refuses; a link could hide only between near duplicates of one name, 1 pair in 2^48."""
     return int.from_bytes(digest[:6], "little")
 
 
@@ -151,7 +153,7 @@ def summed_sketch(parts: DataFrame) -> np.ndarray:
 
     sketch = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), dtype=np.int32)
     rows = parts.where("chunk is not null").select("chunk", "counts").repartition(CHUNKS // 4, "chunk").mapInArrow(run, "chunk int, counts binary")
-    for r in rows.toLocalIterator():
+    for r in rows.collect():  # one row per chunk
         sketch[r["chunk"]] = np.frombuffer(r["counts"], dtype=np.int32)
     return sketch.reshape(-1)
 
@@ -226,11 +228,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a``, ``b`` of those pairs of class ids whose sets link. Each pair is verified once."""
-    wanted = written(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct().join(classes, "cid").select("cid", "digest", "rep"), "wanted")
-    sets = sets_of(docs, wanted).join(wanted.select("cid", F.col("digest").alias("__d")), F.col("digest") == F.col("__d")).select("cid", "members")
-    sets = written(sets, "sets")
-    both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("members").alias("left")), "a")
-            .join(sets.select(F.col("cid").alias("b"), F.col("members").alias("right")), "b").select("a", "b", "left", "right"))
+    of = classes.select("cid", "digest", "rep")
+    named = (pairs.join(of.select(F.col("cid").alias("a"), F.struct("digest", "rep").alias("one")), "a")
+             .join(of.select(F.col("cid").alias("b"), F.struct("digest", "rep").alias("two")), "b"))
+    named = written(named, "named-pairs")
+    sets = sets_of(docs, named.select("one.rep").unionByName(named.select("two.rep")).distinct())
+    one, two = F.col("one.digest"), F.col("two.digest")
+    both = (named.select("a", "b", one.alias("d1"), two.alias("d2"))
+            .join(sets.select(F.col("digest").alias("d1"), F.col("members").alias("left")), "d1")
+            .join(sets.select(F.col("digest").alias("d2"), F.col("members").alias("right")), "d2").select("a", "b", "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "left"):
@@ -267,11 +273,13 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     classes = members.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("name", name_column(F.col("digest"))), "classes")
 
-    # shingles in the prefixes of two names or more
+    # shingles in the prefixes of two names or more; shingles that the same names have count as one
     by_token = W.partitionBy("token")
     rows = prefixes(docs, summed_sketch(first))
-    rows = (rows.withColumn("__low", F.min("name").over(by_token)).withColumn("__high", F.max("name").over(by_token))
-            .where("__low <> __high").select("token", "name", "n", "pos").dropDuplicates(["token", "name"]))
+    low, high = F.min("name").over(by_token), F.max("name").over(by_token)
+    rows = rows.withColumn("__low", low).withColumn("__high", high).where("__low <> __high").dropDuplicates(["token", "name"])
+    same = F.xxhash64("__low", "__high", F.bit_xor(F.xxhash64("name")).over(by_token), F.count("*").over(by_token))
+    rows = rows.select("name", "n", "pos", same.alias("token")).groupBy("token", "name").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
     names = classes.select("cid", F.col("name").alias("__name"))
     shared = written(rows.join(names, F.col("name") == F.col("__name")).select("token", "cid", "n", "pos"), "shared-shingles")
 
@@ -291,12 +299,14 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # classes that are still apart within a shingle, component against component
     placed = shared.join(found.select(F.col("node").alias("__node"), "component"), F.col("cid") == F.col("__node"), "left")
     placed = placed.select("token", "cid", "n", "pos", F.coalesce("component", "cid").alias("comp"))
-    groups = placed.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    mixed_tokens = groups.groupBy("token").agg(F.count("*").alias("__k")).where("__k > 1").select("token")
-    groups = written(groups.join(mixed_tokens, "token"), "token-groups")
-    one = groups.select("token", F.col("comp").alias("c1"), F.col("low").alias("low1"), F.col("high").alias("high1"))
-    two = groups.select("token", F.col("comp").alias("c2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    apart = one.join(two, "token").where("c1 < c2 and 4 * high1 >= 3 * low2 and 4 * high2 >= 3 * low1").select("token", "c1", "c2")
+    # a group may only meet another where its members could: by sizes, and by what the best placed can still share
+    reach = F.max(7 * (1 + F.col("n") - F.col("pos")) - 3 * F.col("n"))
+    groups = placed.groupBy("token", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), reach.alias("reach"))
+    several_groups = groups.groupBy("token").agg(F.count("*").alias("__k")).where("__k > 1").select("token")
+    groups = written(groups.join(several_groups, "token"), "token-groups")
+    one, two = (groups.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("comp", "low", "high", "reach")]) for i in (1, 2))
+    apart = (one.join(two, "token").where("comp1 < comp2 and 4 * high1 >= 3 * low2 and 4 * high2 >= 3 * low1 and reach1 >= 3 * low2 and reach2 >= 3 * low1")
+             .select("token", F.col("comp1").alias("c1"), F.col("comp2").alias("c2")))
     side1 = placed.select("token", F.col("comp").alias("c1"), F.col("cid").alias("x"), "n", "pos")
     side2 = placed.select("token", F.col("comp").alias("c2"), F.col("cid").alias("y"), F.col("n").alias("m"), F.col("pos").alias("j"))
     more = apart.join(side1, ["token", "c1"]).join(side2, ["token", "c2"]).where(may_link("n", "pos", "m", "j"))
