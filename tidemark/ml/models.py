@@ -1,8 +1,8 @@
 """Model preparation, fit and scoring (M3–M16) with Spark ML and Arrow-batched pandas code.
 
 Rows stay distributed: statistics are aggregates, fits are Spark ML estimators, posterior
-scoring streams row blocks through ``mapInPandas`` against a broadcast draws matrix whose size
-(draws x parameters) is checked before it is shipped.
+scoring streams row blocks through ``mapInPandas`` against draw blocks of a fixed size, and partial
+moments are merged, so any number of draws is scored the same way.
 """
 
 from __future__ import annotations
@@ -13,14 +13,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import UnivariateFeatureSelector
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_DRAW_CELLS = 50_000_000  # draws x parameters shipped to every task (400 MB of doubles)
-
+from tidemark.operators.ordering import dense_index
 
 def feature_stats(df: DataFrame, col: str = "features") -> DataFrame:
     """M5: per feature position: mean and population std (zero std -> 1)."""
@@ -38,11 +37,18 @@ def standardize(df: DataFrame, stats: DataFrame, col: str = "features") -> DataF
 
 
 def row_split(df: DataFrame, order: str, train_frac: float = 0.8) -> DataFrame:
-    """M3: first ``train_frac`` of rows in order -> train, rest -> test."""
-    w = Window.orderBy(order)
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return df.withColumn("_r", F.row_number().over(w)).withColumn(
-        "split", F.when(F.col("_r") <= F.floor(n * train_frac), "train").otherwise("test")).drop("_r")
+    """M3: first ``train_frac`` of rows in order -> train, rest -> test; positions without a one-task window."""
+    n = df.count()
+    return dense_index(df, [order], name="_r").withColumn(
+        "split", F.when(F.col("_r") < int(n * train_frac), "train").otherwise("test")).drop("_r")
+
+
+def tail_split(df: DataFrame, order: str, n_train: int = 480, n_val: int = 180, n_test: int = 240) -> DataFrame:
+    """M3, time-series form: the last rows in order -> train / val / test of fixed sizes, the rest is null."""
+    n = df.count()
+    left = n - F.col("_r")
+    return dense_index(df, [order], name="_r").withColumn(
+        "split", F.when(left <= n_test, "test").when(left <= n_test + n_val, "val").when(left <= n_test + n_val + n_train, "train")).drop("_r")
 
 
 def logistic_fit(df: DataFrame, C: float = 1.0, label: str = "y", features: str = "features"):
@@ -60,22 +66,92 @@ def coefficients_table(model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "pos long, coef double")
 
 
-def cv_grid(df: DataFrame, Cs, folds: DataFrame, label: str = "y") -> DataFrame:
-    """M8: mean negative log loss per C over expanding time-series folds (M4)."""
+# Fixed value: the grid of C, 30 values from 1e-4 to 1e4.
+C_GRID = [10 ** (-4 + 8 * i / 29) for i in range(30)]
+
+
+def newton_logistic(rows: DataFrame, models: dict[str, tuple[float, int]], member: str, tol: float = 1e-8,
+                    max_iter: int = 60) -> dict[str, np.ndarray]:
+    """L2 logistic regressions of many models at once by Newton steps.
+
+    ``models``: name -> (C, fold); a row counts for the models of the folds listed in its array column
+    ``member``. One pass over the rows per step for all models: tasks add up gradient and Hessian per model
+    (sizes fixed by the features), Spark sums them, the driver solves the steps. The intercept is not
+    penalised; the objective is C x log loss + |beta|^2 / 2."""
+    k = rows.select(F.size("features")).first()[0] + 1
+    theta = {name: np.zeros(k) for name in models}
+    live, spark = set(models), rows.sparkSession
+    for _ in range(max_iter):
+        state = {name: (theta[name], models[name][1]) for name in live}
+        shared = spark.sparkContext.broadcast(state)
+
+        def run(it: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            grad = {name: np.zeros(k) for name in shared.value}
+            hess = {name: np.zeros((k, k)) for name in shared.value}
+            for pdf in it:
+                X = np.column_stack([np.ones(len(pdf)), np.vstack(pdf["features"].to_numpy())])
+                y = pdf["y"].to_numpy().astype(float)
+                folds = [set(f) for f in pdf[member]]
+                use = {f: np.array([f in s for s in folds]) for f in {f for _, f in shared.value.values()}}
+                for name, (t, f) in shared.value.items():
+                    Xf, yf = X[use[f]], y[use[f]]
+                    p = 1.0 / (1.0 + np.exp(-np.clip(Xf @ t, -500, 500)))
+                    grad[name] += Xf.T @ (p - yf)
+                    hess[name] += (Xf * (p * (1 - p))[:, None]).T @ Xf
+            yield pd.DataFrame({"name": list(grad), "g": [g.tolist() for g in grad.values()], "h": [h.ravel().tolist() for h in hess.values()]})
+
+        parts = rows.select("features", "y", member).mapInPandas(run, "name string, g array<double>, h array<double>")
+        sums = parts.select("name", F.posexplode(F.concat("g", "h")).alias("i", "v")).groupBy("name", "i").agg(F.sum("v").alias("v"))
+        total = {name: np.zeros(k + k * k) for name in live}
+        for name, i, v in sums.toPandas().itertuples(index=False):
+            total[name][i] = v
+        for name in sorted(live):
+            C = models[name][0]
+            ridge = np.r_[0.0, np.ones(k - 1)]
+            g = C * total[name][:k] + ridge * theta[name]
+            h = C * total[name][k:].reshape(k, k) + np.diag(ridge + 1e-12)
+            step = np.linalg.solve(h, g)
+            step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-300))
+            theta[name] = theta[name] - step
+            if np.abs(step).max() < tol:
+                live.discard(name)
+        if not live:
+            break
+    return theta
+
+
+def cv_grid(df: DataFrame, Cs, folds: DataFrame, label: str = "y") -> tuple[DataFrame, np.ndarray]:
+    """M8: mean negative log loss per C over expanding time-series folds (M4), and the parameters
+    (intercept first) of the best C, refitted on all rows. All fits of the grid share their passes."""
     spark = df.sparkSession
-    out = []
-    for C in Cs:
-        losses = []
-        for k in sorted(r["fold"] for r in folds.select("fold").distinct().collect()):
-            tr = df.join(folds.where((F.col("fold") == k) & (F.col("role") == "train")), "row_id", "left_semi")
-            te = df.join(folds.where((F.col("fold") == k) & (F.col("role") == "test")), "row_id", "left_semi")
-            m = logistic_fit(tr, C)
-            p = m.transform(te.select(array_to_vector("features").alias("fv"), F.col(label).cast("double").alias("label")))
-            p1 = F.least(F.greatest(vector_to_array("probability")[1], F.lit(1e-15)), F.lit(1 - 1e-15))
-            ll = p.agg(F.avg(-(F.col("label") * F.log(p1) + (1 - F.col("label")) * F.log(1 - p1)))).first()[0]
-            losses.append(ll)
-        out.append((float(C), float(-np.mean(losses))))
-    return spark.createDataFrame(out, "C double, neg_log_loss double")
+    marks = folds.groupBy("row_id").agg(F.collect_list(F.when(F.col("role") == "train", F.col("fold"))).alias("train"),
+                                        F.collect_list(F.when(F.col("role") == "test", F.col("fold"))).alias("test"))
+    rows = df.withColumn("y", F.col(label).cast("double")).join(marks, "row_id").select("features", "y", "train", "test")
+    names = sorted(r[0] for r in folds.select("fold").distinct().collect())
+    models = {f"{i}:{k}": (float(C), k) for i, C in enumerate(Cs) for k in names}
+    shared = spark.sparkContext.broadcast(newton_logistic(rows, models, "train"))
+
+    def losses(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[str, list[float]] = {}
+        for pdf in it:
+            X = np.column_stack([np.ones(len(pdf)), np.vstack(pdf["features"].to_numpy())])
+            y = pdf["y"].to_numpy()
+            for name, t in shared.value.items():
+                fold = int(name.split(":")[1])
+                use = np.array([fold in f for f in pdf["test"]])
+                p = np.clip(1.0 / (1.0 + np.exp(-np.clip(X[use] @ t, -500, 500))), 1e-15, 1 - 1e-15)
+                got = total.setdefault(name, [0.0, 0])
+                got[0] += float(-(y[use] * np.log(p) + (1 - y[use]) * np.log(1 - p)).sum())
+                got[1] += int(use.sum())
+        yield pd.DataFrame([(n, v[0], v[1]) for n, v in total.items()], columns=["name", "loss", "n"])
+
+    per = rows.mapInPandas(losses, "name string, loss double, n long").groupBy("name").agg((F.sum("loss") / F.sum("n")).alias("loss")).toPandas()
+    per["i"] = per["name"].str.split(":").str[0].astype(int)
+    mean = per.groupby("i")["loss"].mean()
+    best = int(mean.idxmin())
+    whole = df.withColumn("y", F.col(label).cast("double")).withColumn("all", F.array(F.lit(0).cast("long")))
+    theta = newton_logistic(whole, {"best": (float(Cs[best]), 0)}, "all")["best"]
+    return spark.createDataFrame([(float(Cs[i]), -float(v), i == best) for i, v in mean.items()], "C double, neg_log_loss double, best boolean"), theta
 
 
 def gbt_fit(df: DataFrame, trees: int = 300, lr: float = 0.05, depth: int = 6, min_leaf: int = 50):
@@ -88,18 +164,13 @@ def gbt_fit(df: DataFrame, trees: int = 300, lr: float = 0.05, depth: int = 6, m
 
 def tail_split_folds(df: DataFrame, order: str, n_splits: int = 5) -> DataFrame:
     """M4: expanding-window folds: test size n div (splits + 1), test k starts at n - (splits - k) t."""
-    w = Window.orderBy(order)
-    x = df.select("row_id", (F.row_number().over(w) - 1).alias("_i"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    t = (F.col("_n") / (n_splits + 1)).cast("long")
-    parts = []
-    for k in range(n_splits):
-        start = F.col("_n") - (n_splits - k) * t
-        parts.append(x.select("row_id", F.lit(k).cast("long").alias("fold"),
-                              F.when(F.col("_i") < start, "train").when(F.col("_i") < start + t, "test").alias("role")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("role").isNotNull())
+    n = df.count()
+    t = n // (n_splits + 1)
+    x = dense_index(df.select("row_id", order).distinct() if order != "row_id" else df.select("row_id"), [order], name="_i")
+    x = x.withColumn("fold", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_splits - 1).cast("long"))))
+    start = n - (n_splits - F.col("fold")) * t
+    role = F.when(F.col("_i") < start, "train").when(F.col("_i") < start + t, "test")
+    return x.select("row_id", "fold", role.alias("role")).where(F.col("role").isNotNull())
 
 
 def log_posterior(df: DataFrame, theta: DataFrame) -> DataFrame:
@@ -143,36 +214,36 @@ def posterior_predictive(df: DataFrame, draws: DataFrame, block_rows: int = 5000
                          clip: float = 500.0) -> DataFrame:
     """Per row, mean and population std over draws of sigmoid(x . theta), logit clipped.
 
-    The draws matrix is collected once (its size is checked) and shipped with the task closure;
-    rows stream through in Arrow batches and are multiplied against draw blocks, so no
-    row x draw pair is ever materialised as a Spark row.
-    """
-    n_cells = draws.select((F.count(F.lit(1)) * (F.max(F.size("beta")) + 1)).alias("c")).first()["c"] or 0
-    if n_cells > MAX_BROADCAST_DRAW_CELLS:
-        raise ValueError(f"draws matrix too large to broadcast ({n_cells} cells); score in draw shards instead")
-    d = draws.orderBy("draw_id").select("intercept", "beta").toPandas()
-    theta = np.column_stack([d["intercept"].to_numpy(), np.vstack(d["beta"].to_numpy())]) if len(d) else np.zeros((0, 1))
-    bc = df.sparkSession.sparkContext.broadcast(theta)
-
-    def score(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        th = bc.value
-        for pdf in it:
-            for s in range(0, len(pdf), block_rows):
-                part = pdf.iloc[s:s + block_rows]
-                X = np.column_stack([np.ones(len(part)), np.vstack(part["features"].to_numpy())])
-                acc = np.zeros(len(part))
-                acc2 = np.zeros(len(part))
-                for t in range(0, th.shape[0], block_draws):
-                    z = np.clip(X @ th[t:t + block_draws].T, -clip, clip)
-                    p = 1.0 / (1.0 + np.exp(-z))
-                    acc += p.sum(axis=1)
-                    acc2 += (p * p).sum(axis=1)
-                n = th.shape[0]
-                mean = acc / n
-                var = np.maximum(acc2 / n - mean * mean, 0.0)
-                yield pd.DataFrame({"row_id": part["row_id"].to_numpy(), "p_hat": mean, "p_std": np.sqrt(var)})
-
-    return df.select("row_id", "features").mapInPandas(score, "row_id long, p_hat double, p_std double")
+    Draws are taken in blocks of ``block_draws``, each sent to the tasks as a matrix of that bounded size;
+    rows stream through in Arrow batches, so no row x draw pair becomes a Spark row. A block gives a row's
+    count, mean and squared deviations (two passes, nothing cancels); blocks are merged per row."""
+    numbered = dense_index(draws.select("draw_id", "intercept", "beta"), ["draw_id"], name="_d")
+    n_blocks = -(-numbered.count() // block_draws)
+    parts = None
+    for b in range(n_blocks):
+        d = numbered.where(F.col("_d").between(b * block_draws, (b + 1) * block_draws - 1)).orderBy("_d").select("intercept", "beta").toPandas()
+        bc = df.sparkSession.sparkContext.broadcast(np.column_stack([d["intercept"].to_numpy(), np.vstack(d["beta"].to_numpy())]))
+
+        def score(it: Iterator[pd.DataFrame], bc=bc) -> Iterator[pd.DataFrame]:
+            th = bc.value
+            for pdf in it:
+                for s in range(0, len(pdf), block_rows):
+                    part = pdf.iloc[s:s + block_rows]
+                    X = np.column_stack([np.ones(len(part)), np.vstack(part["features"].to_numpy())])
+                    p = 1.0 / (1.0 + np.exp(-np.clip(X @ th.T, -clip, clip)))
+                    mean = p.mean(axis=1)
+                    yield pd.DataFrame({"row_id": part["row_id"].to_numpy(), "n": float(len(th)), "m": mean, "q": ((p - mean[:, None]) ** 2).sum(axis=1)})
+
+        one = df.select("row_id", "features").mapInPandas(score, "row_id long, n double, m double, q double")
+        parts = one if parts is None else parts.unionByName(one)
+    if parts is None:
+        return df.select("row_id", F.lit(None).cast("double").alias("p_hat"), F.lit(None).cast("double").alias("p_std"))
+    if n_blocks > 1:
+        merged = parts.groupBy("row_id").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("m"),
+                                             F.sum("q").alias("q0"), F.collect_list(F.struct("n", "m")).alias("b"))
+        between = F.aggregate("b", F.lit(0.0), lambda acc, x: acc + x["n"] * (x["m"] - F.col("m")) * (x["m"] - F.col("m")))
+        parts = merged.select("row_id", "n", "m", (F.col("q0") + between).alias("q"))
+    return parts.select("row_id", F.col("m").alias("p_hat"), F.sqrt(F.col("q") / F.col("n")).alias("p_std"))
 
 
 def metropolis_consensus(df: DataFrame, shards: int = 8, steps: int = 3000, burn: int = 1000, thin: int = 4,
@@ -238,7 +309,7 @@ def metropolis_consensus(df: DataFrame, shards: int = 8, steps: int = 3000, burn
 
 
 def fdr_select(df: DataFrame, fdr: float = 0.05) -> DataFrame:
-    """Per-feature ANOVA F-test selection with false-discovery-rate control."""
+    """Per-feature ANOVA F-test selection with false-discovery-rate control; fit it on train rows only."""
     v = df.select(array_to_vector("features").alias("fv"), F.col("y").cast("double").alias("label"))
     sel = UnivariateFeatureSelector(featuresCol="fv", labelCol="label", outputCol="sel", selectionMode="fdr")
     sel.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(fdr)
@@ -247,10 +318,13 @@ def fdr_select(df: DataFrame, fdr: float = 0.05) -> DataFrame:
 
 
 def regression_eval(df: DataFrame, target_pos: int = 0) -> DataFrame:
-    """Next-value regression (linear) with MSE and R^2 on a held-out tail."""
-    x = df.select("row_id", F.slice("features", 2, 10_000).alias("xs"), F.col("features")[target_pos].alias("label"))
-    x = x.select("row_id", array_to_vector("xs").alias("fv"), "label")
-    tr, te = x.where(F.col("row_id") % 5 != 0), x.where(F.col("row_id") % 5 == 0)
+    """Regression of one feature's next value (the following row's) on all features of the row, with
+    MSE and R^2 on the last fifth of the rows. The target row's own features are not among the inputs."""
+    n = df.count()
+    x = dense_index(df.select("row_id", "features"), ["row_id"], name="_i")
+    after = x.select((F.col("_i") - 1).alias("_i"), F.get("features", target_pos).alias("label"))
+    x = x.join(after, "_i").select("_i", array_to_vector("features").alias("fv"), "label")
+    tr, te = x.where(F.col("_i") < n * 4 // 5), x.where(F.col("_i") >= n * 4 // 5)
     m = LinearRegression(featuresCol="fv", labelCol="label").fit(tr)
     p = m.transform(te)
     ev = RegressionEvaluator(labelCol="label", predictionCol="prediction")

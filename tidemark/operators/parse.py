@@ -6,16 +6,25 @@ malformed message becomes nulls in its own row, never a failed task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TRADE_MSG = "type string, trade_id long, product_id string, price string, size string, side string, sequence long, time string"
-TICKER_MSG = "type string, product_id string, sequence long, price string, best_bid string, best_ask string"
-BOOK_MSG = "snapshot_id long, yes array<array<double>>, no array<array<double>>"
-DELTA_MSG = "ticker string, price double, delta double, side string, seq long"
-KTRADE_MSG = "trade_id string, ticker string, yes_price double, count string, taker_outcome_side string, taker_side string"
-ORDER_MSG = "order struct<filled_count string, remaining_count string, taker_fill_cost string, taker_fees string>, " \
-            "filled_count string, remaining_count string, taker_fill_cost string, taker_fees string"
+# Field names of the landed messages. Numbers come as text or as numbers; every one is read
+# as text and cast safely (P4), so a bad value is a null of its own.
+TRADE_MSG = "type string, trade_id long, maker_order_id string, taker_order_id string, product_id string, price string, " \
+            "size string, side string, sequence long, time string, arrival long"
+TICKER_MSG = "type string, product_id string, sequence long, time string, price string, best_bid string, best_ask string, " \
+             "best_bid_size string, best_ask_size string, last_size string, side string"
+BOOK_MSG = "market_ticker string, market_id string, ts_ms string, yes_dollars_fp array<string>, no_dollars_fp array<string>"
+DELTA_MSG = "market_ticker string, market_id string, ts_ms string, price_dollars string, delta_fp string, side string"
+KTRADE_MSG = "trade_id string, market_ticker string, ts_ms string, yes_price_dollars string, no_price_dollars string, " \
+             "count_fp string, taker_outcome_side string, taker_side string, taker_book_side string"
+ORDER_FIELDS = ["fill_count_fp", "remaining_count_fp", "taker_fill_cost_dollars", "maker_fill_cost_dollars",
+                "taker_fees_dollars", "maker_fees_dollars", "status", "order_id"]
+_ORDER = ", ".join(f"{f} string" for f in ORDER_FIELDS)
+ORDER_MSG = f"order struct<{_ORDER.replace(' string', ': string')}>, {_ORDER}"
 
 
 def route(raw: DataFrame) -> DataFrame:
@@ -38,46 +47,52 @@ def parse_trades(raw: DataFrame) -> DataFrame:
     """Spot trade rows from 'match' messages; price / size safe-cast."""
     m = F.from_json("raw", TRADE_MSG)
     x = raw.select(m.alias("m")).where(F.col("m.type") == "match").select("m.*")
-    return x.select("trade_id", "product_id", safe_double("price").alias("price"), safe_double("size").alias("size"),
-                    "side", "sequence", F.expr("try_cast(time AS TIMESTAMP)").alias("time"))
+    return x.select("trade_id", F.col("type").alias("event_type"), "product_id", safe_double("price").alias("price"),
+                    safe_double("size").alias("size"), "side", "sequence", F.expr("try_cast(time AS TIMESTAMP)").alias("time"),
+                    "maker_order_id", "taker_order_id")
 
 
 def parse_tickers(raw: DataFrame) -> DataFrame:
     """Spot quote rows from 'ticker' messages."""
     m = F.from_json("raw", TICKER_MSG)
     x = raw.select(m.alias("m")).where(F.col("m.type") == "ticker").select("m.*")
-    return x.select("product_id", "sequence", safe_double("price").alias("price"),
-                    safe_double("best_bid").alias("best_bid"), safe_double("best_ask").alias("best_ask"))
+    numbers = ["price", "best_bid", "best_ask", "best_bid_size", "best_ask_size", "last_size"]
+    return x.select("product_id", "sequence", F.expr("try_cast(time AS TIMESTAMP)").alias("time"),
+                    *[safe_double(c).alias(c) for c in numbers], "side")
 
 
 def explode_book(raw: DataFrame) -> DataFrame:
-    """One row per (snapshot, side, level); levels shorter than [price, size] are dropped."""
+    """One row per (message, side, level). Levels are [price, size, ...] of texts or numbers; a level
+    that is shorter, or whose price or size cannot be read, is dropped, and only that level."""
     m = raw.select(F.from_json("raw", BOOK_MSG).alias("m")).select("m.*")
     sides = []
-    for s in ("yes", "no"):
-        sides.append(m.select("snapshot_id", F.lit(s).alias("side"), F.posexplode(s).alias("level", "lv")))
-    x = sides[0].unionByName(sides[1])
-    x = x.where(F.size("lv") >= 2)
-    return x.select("snapshot_id", "side", F.col("level").cast("long").alias("level"),
-                    F.col("lv")[0].alias("price"), F.col("lv")[1].alias("size"))
+    for side, key in (("yes", "yes_dollars_fp"), ("no", "no_dollars_fp")):
+        sides.append(m.select("market_ticker", "market_id", "ts_ms", F.lit(side).alias("side"), F.posexplode(key).alias("level", "_lv")))
+    x = sides[0].unionByName(sides[1]).withColumn("_lv", F.from_json("_lv", "array<string>"))
+    x = x.select(F.col("market_ticker").alias("ticker"), "market_id", safe_int_via_float("ts_ms").alias("ts_ms"),
+                 F.lit("snapshot").alias("event_type"), "side", F.col("level").cast("long").alias("level"),
+                 F.get("_lv", 0).try_cast("double").alias("price"), F.get("_lv", 1).try_cast("double").alias("delta_size"))
+    return x.where(F.col("price").isNotNull() & F.col("delta_size").isNotNull())
 
 
 def parse_deltas(raw: DataFrame) -> DataFrame:
-    """Delta rows; reject when ticker, price or delta is null or side is not yes/no."""
+    """Delta rows; reject when ticker, price or delta is null or unreadable, or side is not yes/no."""
     m = raw.select(F.from_json("raw", DELTA_MSG).alias("m")).select("m.*")
-    return m.where(F.col("ticker").isNotNull() & F.col("price").isNotNull() & F.col("delta").isNotNull()
-                   & F.col("side").isin("yes", "no"))
+    x = m.select(F.col("market_ticker").alias("ticker"), "market_id", safe_int_via_float("ts_ms").alias("ts_ms"),
+                 F.lit("delta").alias("event_type"), "side", safe_double("price_dollars").alias("price"), safe_double("delta_fp").alias("delta_size"))
+    return x.where(F.col("ticker").isNotNull() & F.col("price").isNotNull() & F.col("delta_size").isNotNull() & F.col("side").isin("yes", "no"))
 
 
 def parse_contract_trades(raw: DataFrame) -> DataFrame:
-    """Contract trades; reject empty trade_id / ticker; taker outcome side falls back to the
-    taker side when null or empty; count goes through float."""
+    """Contract trades; reject empty trade_id / ticker; the taker's outcome side falls back to the taker
+    side when null or empty; prices and the (fractional) count are cast safely."""
     m = raw.select(F.from_json("raw", KTRADE_MSG).alias("m")).select("m.*")
-    m = m.where((F.coalesce(F.col("trade_id"), F.lit("")) != "") & (F.coalesce(F.col("ticker"), F.lit("")) != ""))
-    return m.select("trade_id", "ticker", "yes_price", (1 - F.col("yes_price")).alias("no_price"),
-                    safe_int_via_float("count").alias("count"),
+    m = m.where((F.coalesce(F.col("trade_id"), F.lit("")) != "") & (F.coalesce(F.col("market_ticker"), F.lit("")) != ""))
+    return m.select("trade_id", F.col("market_ticker").alias("ticker"), safe_int_via_float("ts_ms").alias("ts_ms"),
+                    safe_double("yes_price_dollars").alias("yes_price"), safe_double("no_price_dollars").alias("no_price"),
+                    safe_double("count_fp").alias("count"),
                     F.coalesce(F.nullif(F.col("taker_outcome_side"), F.lit("")), F.col("taker_side")).alias("taker_outcome_side"),
-                    "taker_side")
+                    "taker_book_side")
 
 
 def enrich_coin(df: DataFrame, dim: DataFrame, key: str = "ticker") -> DataFrame:
@@ -99,36 +114,37 @@ def parse_option_symbol(df: DataFrame, col: str = "instrument_name") -> DataFram
 
 
 def nearest_expiry(opts: DataFrame) -> DataFrame:
-    """Options of each currency's nearest expiry date (unparsable expiries sort last)."""
-    w = Window.partitionBy("currency")
-    first = F.min("expiry_date").over(w)
-    return opts.where(F.col("expiry_date").isNotNull()).withColumn("_first", first) \
-        .where(F.col("expiry_date") == F.col("_first")).drop("_first")
+    """Options of each currency's nearest expiry date. A minimum per currency (map-side) is joined back."""
+    known = opts.where(F.col("expiry_date").isNotNull())
+    first = known.groupBy(F.col("currency").alias("_c")).agg(F.min("expiry_date").alias("_first"))
+    return known.join(first, (F.col("currency") == F.col("_c")) & (F.col("expiry_date") == F.col("_first"))).drop("_c", "_first")
+
+
+def nearest(rows: DataFrame, by: Sequence[str], order: Sequence[str], n: int, buckets: int = 64) -> DataFrame:
+    """The first ``n`` rows of each ``by`` in ``order``: first of hash buckets of the group, then of what the
+    buckets keep, so that a group is never sorted in one task."""
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))).where(F.col("_rn") <= n)
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= n).drop("_b", "_rn")
 
 
 def near_spot(opts: DataFrame, per_side: int = 12) -> DataFrame:
     """The ``per_side`` calls and puts with strikes nearest the spot (first non-null underlying)."""
-    w = Window.partitionBy("currency").orderBy("id")
-    spot = F.first("underlying_price", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    o = opts.withColumn("distance_to_spot", F.abs(F.col("strike") - spot))
-    r = Window.partitionBy("currency", "option_type").orderBy("distance_to_spot", "id")
-    o = o.where(F.col("option_type").isin("C", "P")).withColumn("_rn", F.row_number().over(r))
-    return o.where(F.col("_rn") <= per_side).select("currency", "instrument_name", "distance_to_spot").distinct()
+    spot = (opts.where(F.col("underlying_price").isNotNull()).groupBy(F.col("currency").alias("_c"))
+            .agg(F.min_by("underlying_price", "id").alias("_spot")))
+    o = opts.where(F.col("option_type").isin("C", "P")).join(spot, F.col("currency") == F.col("_c"), "left")
+    o = o.withColumn("distance_to_spot", F.abs(F.col("strike") - F.col("_spot")))
+    return nearest(o, ["currency", "option_type"], ["distance_to_spot", "id"], per_side).select("currency", "instrument_name", "distance_to_spot").distinct()
 
 
 def delta_selection(opts: DataFrame) -> DataFrame:
     """T4: 25-delta call in [.10, .40], ATM call in [.40, .60], 25-delta put in [-.40, -.10],
     each nearest its target delta (first in input order on ties); distinct."""
-    rules = [("call25", "C", 0.10, 0.40, 0.25), ("atm_call", "C", 0.40, 0.60, 0.5), ("put25", "P", -0.40, -0.10, -0.25)]
-    parts = []
-    for name, typ, lo, hi, target in rules:
-        c = opts.where((F.col("option_type") == typ) & F.col("delta").isNotNull() & (F.col("delta") >= lo) & (F.col("delta") <= hi))
-        w = Window.partitionBy("currency").orderBy(F.abs(F.col("delta") - F.lit(target)), "id")
-        parts.append(c.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("currency", "instrument_name", "delta"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    rules = [("C", 0.10, 0.40, 0.25), ("C", 0.40, 0.60, 0.5), ("P", -0.40, -0.10, -0.25)]
+    parts = [opts.where((F.col("option_type") == typ) & F.col("delta").between(lo, hi)).groupBy("currency").agg(
+        F.min_by(F.struct("instrument_name", "delta"), F.struct(F.abs(F.col("delta") - F.lit(target)), F.col("id"))).alias("best"))
+        for typ, lo, hi, target in rules]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("currency", "best.instrument_name", "best.delta").distinct()
 
 
 def interval_strike(trades: DataFrame, interval_s: int) -> DataFrame:
@@ -139,17 +155,18 @@ def interval_strike(trades: DataFrame, interval_s: int) -> DataFrame:
 
 
 def parse_order_response(raw: DataFrame) -> DataFrame:
-    """Filled, remaining, average fill price and fee per contract; envelope optional,
-    zeros when absent."""
+    """Filled and remaining contracts (whole), average fill price and fee per contract over taker and
+    maker parts, status and order id; the ``order`` envelope is optional, absent fields are zero."""
     m = raw.select("id", F.from_json("raw", ORDER_MSG).alias("m"))
-    def fld(n):
-        return F.coalesce(F.col(f"m.order.{n}"), F.col(f"m.{n}"))
-    x = m.select("id", *[fld(n).alias(n) for n in ("filled_count", "remaining_count", "taker_fill_cost", "taker_fees")])
-    x = x.select("id", *[F.coalesce(F.expr(f"try_cast({n} AS DOUBLE)"), F.lit(0.0)).alias(n)
-                         for n in ("filled_count", "remaining_count", "taker_fill_cost", "taker_fees")])
-    return x.select("id", F.col("filled_count").alias("filled"), F.col("remaining_count").alias("remaining"),
-                    F.coalesce(F.try_divide("taker_fill_cost", "filled_count"), F.lit(0.0)).alias("avg_price"),
-                    F.coalesce(F.try_divide("taker_fees", "filled_count"), F.lit(0.0)).alias("fee_per_contract"))
+    x = m.select("id", *[F.when(F.col("m.order").isNotNull(), F.col(f"m.order.{n}")).otherwise(F.col(f"m.{n}")).alias(n) for n in ORDER_FIELDS])
+    whole = [F.coalesce(safe_int_via_float(n), F.lit(0)).alias(n) for n in ORDER_FIELDS[:2]]
+    money = [F.coalesce(safe_double(n), F.lit(0.0)).alias(n) for n in ORDER_FIELDS[2:6]]
+    x = x.select("id", *whole, *money, "status", "order_id")
+    filled = F.when(F.col("fill_count_fp") > 0, F.col("fill_count_fp"))
+    return x.select("id", F.col("fill_count_fp").alias("filled"), F.col("remaining_count_fp").alias("remaining"),
+                    F.coalesce((F.col("taker_fill_cost_dollars") + F.col("maker_fill_cost_dollars")) / filled, F.lit(0.0)).alias("avg_price"),
+                    F.coalesce((F.col("taker_fees_dollars") + F.col("maker_fees_dollars")) / filled, F.lit(0.0)).alias("fee_per_contract"),
+                    F.coalesce("status", F.lit("unknown")).alias("status"), F.coalesce("order_id", F.lit("")).alias("order_id"))
 
 
 def parse_timestamp(c: str):

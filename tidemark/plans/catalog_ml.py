@@ -79,10 +79,27 @@ def m7_logistic_coefficients(spark, d):
 
 @register("m8_c_grid_cv", None)
 def m8_c_grid_cv(spark, d):
-    """M8: C grid (logspace(-4, 4) subset) scored by time-series CV negative log loss."""
+    """M8: 30 values of C scored by time-series CV negative log loss; the best is marked."""
     c = _clf(spark, d)
     s = md.standardize(c, md.feature_stats(c))
-    return md.cv_grid(s, [10 ** e for e in (-4, -2, 0, 2, 4)], md.tail_split_folds(s, "row_id"))
+    return md.cv_grid(s, md.C_GRID, md.tail_split_folds(s, "row_id"))[0]
+
+
+@register("m8_best_refit", None)
+def m8_best_refit(spark, d):
+    """M8: parameters of the best C, refitted on all rows (pos -1 = intercept)."""
+    c = _clf(spark, d)
+    s = md.standardize(c, md.feature_stats(c))
+    theta = md.cv_grid(s, md.C_GRID, md.tail_split_folds(s, "row_id"))[1]
+    return spark.createDataFrame([(i - 1, float(v)) for i, v in enumerate(theta)], "pos long, coef double")
+
+
+@register("m3_tail_split", W(C) + """
+SELECT row_id, CASE WHEN l <= 240 THEN 'test' WHEN l <= 420 THEN 'val' WHEN l <= 900 THEN 'train' END AS split
+FROM (SELECT row_id, row_number() OVER (ORDER BY row_id DESC) AS l FROM clf)""")
+def m3_tail_split(spark, d):
+    """M3, time-series form: 480 / 180 / 240 last rows."""
+    return md.tail_split(_clf(spark, d), "row_id").select("row_id", "split")
 
 
 @register("m9_gbt_importances", None)
@@ -174,8 +191,10 @@ def m14_point_model(spark, d):
 
 @register("m15_fdr_selection", None)
 def m15_fdr_selection(spark, d):
-    """Features selected by an F-test with FDR control."""
-    return md.fdr_select(_clf(spark, d))
+    """Features selected by an F-test with FDR control, fitted on the train groups only."""
+    c = _clf(spark, d)
+    train = group_split(c, "grp", seed=7).where("split = 'train'")
+    return md.fdr_select(c.join(train, "grp", "left_semi"))
 
 
 @register("m16_regression_eval", None)

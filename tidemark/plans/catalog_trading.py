@@ -253,16 +253,16 @@ def g9_stop_cooldown(spark, d):
   SELECT snapshot_id, yes_bid, 1 - no_bid AS yes_ask, 1 - yes_bid AS no_ask FROM (
     SELECT snapshot_id, max(CASE WHEN side = 'yes' THEN price END) AS yes_bid, max(CASE WHEN side = 'no' THEN price END) AS no_bid
     FROM book GROUP BY snapshot_id))"""]) + """
-SELECT t.order_key, coalesce(b1.yes_ask, t.yes_ask) AS yes_ask, coalesce(b1.no_ask, t.no_ask) AS no_ask,
+SELECT t.order_key, t.line_no, coalesce(b1.yes_ask, t.yes_ask) AS yes_ask, coalesce(b1.no_ask, t.no_ask) AS no_ask,
        abs((b1.yes_bid + b1.yes_ask) / 2 - t.mid) > 0.015 AS diverged
-FROM (SELECT * FROM ticks WHERE line_no = 1) t LEFT JOIN b1 ON b1.snapshot_id = t.order_key""")
+FROM ticks t LEFT JOIN b1 ON b1.snapshot_id = t.order_key""")
 def g10_divergence_and_live_quotes(spark, d):
     """G10 + J12: live book quotes replace cached ones where present; flag book/listing mid divergence."""
     b1 = bk.top_of_book(tv.book(spark, d))
-    t = tv.ticks(spark, d).where("line_no = 1")
+    t = tv.ticks(spark, d)
     j = t.join(b1.withColumnRenamed("yes_ask", "b_yes_ask").withColumnRenamed("no_ask", "b_no_ask"),
                t.order_key == b1.snapshot_id, "left")
-    return j.select("order_key", F.coalesce("b_yes_ask", "yes_ask").alias("yes_ask"), F.coalesce("b_no_ask", "no_ask").alias("no_ask"),
+    return j.select("order_key", "line_no", F.coalesce("b_yes_ask", "yes_ask").alias("yes_ask"), F.coalesce("b_no_ask", "no_ask").alias("no_ask"),
                     sg.divergence_flag((F.col("yes_bid") + F.col("b_yes_ask")) / 2, F.col("mid")).alias("diverged"))
 
 
@@ -339,7 +339,7 @@ def l3_net_position(spark, d):
     return lg.net_positions(lg.positions(_fills(spark, d), FILL_ORDER))
 
 
-@register("l4_position_text", None)
+@register("l4_position_text", None)  # two decimals of binary halves print differently in the engines; golden texts are tested
 def l4_position_text(spark, d):
     """L4 text form of each ticker's position."""
     return lg.position_text(lg.net_positions(lg.positions(_fills(spark, d), FILL_ORDER)))
