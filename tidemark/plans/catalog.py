@@ -23,7 +23,7 @@ def _inputs(spark, d):
 def q1_prepare_kalshi(spark, d):
     """Q1: time to close, strike fill, per-(event, ttc) dedupe, strike filter."""
     kal, _ = _inputs(spark, d)
-    return feat.prepare_kalshi(kal).select(
+    return feat.prepare_kalshi(kal, tv.UNIT_US).select(
         "id", "curr_time", "coin", "open_time", "close_time", "time_to_close", "floor_strike",
         "last_price_dollars", "yes_bid_dollars", "yes_ask_dollars")
 
@@ -32,32 +32,32 @@ def q1_prepare_kalshi(spark, d):
 def q2_coin_features(spark, d):
     """Q2: gated BTC ticks with spot as-of and rolling quote features, with the target."""
     kal, tr = _inputs(spark, d)
-    return feat.build_coin_df(kal, tr, "BTC", prefix=False, add_target=True)
+    return feat.build_coin_df(kal, tr, "BTC", prefix=False, add_target=True, unit_us=tv.UNIT_US)
 
 
 @register("q3_btc_kalshi", fsql.q3_sql(), _Q_ROUND)
 def q3_btc_kalshi(spark, d):
     """Q3: BTC frame + event outcome."""
     kal, tr = _inputs(spark, d)
-    return feat.build_btc_kalshi(kal, tr)
+    return feat.build_btc_kalshi(kal, tr, tv.UNIT_US)
 
 
 @register("q4_spot_features", fsql.q4_sql(), _Q_ROUND)
 def q4_spot_features(spark, d):
     """Q4: 1-unit right-closed spot bars, bar returns, rolling bar stats."""
     _, tr = _inputs(spark, d)
-    return feat.spot_features(tr, "BTC").drop("coin")
+    return feat.spot_features(tr, "BTC", tv.UNIT_US).drop("coin")
 
 
 @register("q6_btc_feature_table", fsql.q6_sql(), _Q6_ROUND)
 def q6_btc_feature_table(spark, d):
     """Q6 (flagship): 70-column BTC feature table."""
     kal, tr = _inputs(spark, d)
-    return feat.btc_feature_table(kal, tr)
+    return feat.btc_feature_table(kal, tr, tv.UNIT_US)
 
 
 @register("q7_training_ready", fsql.q7_sql(), _Q6_ROUND)
 def q7_training_ready(spark, d):
     """Q7: flagship table, complete rows with a target only."""
     kal, tr = _inputs(spark, d)
-    return feat.training_ready(kal, tr)
+    return feat.training_ready(kal, tr, tv.UNIT_US)

@@ -120,7 +120,7 @@ def f10_ttc_ranges(spark, d):
 def f11_prefixed_eth_frame(spark, d):
     """F11 (+ Q2 for another coin): ETH feature rows, every column but curr_time prefixed."""
     kal, tr = _kal(spark, d), _tr(spark, d)
-    return feat.build_coin_df(kal, tr, "ETH", include_event_metadata=False, include_time_to_close=False)
+    return feat.build_coin_df(kal, tr, "ETH", include_event_metadata=False, include_time_to_close=False, unit_us=UNIT_US)
 
 
 _RAW_COLS = [
@@ -186,7 +186,7 @@ def f18_null_free_numeric_columns(spark, d):
     """numeric, non-timestamp columns of the flagship table that contain no nulls."""
     from pyspark.sql import types as T
     from tidemark.plans.features import btc_feature_table
-    df = btc_feature_table(_kal(spark, d), _tr(spark, d))
+    df = btc_feature_table(_kal(spark, d), _tr(spark, d), UNIT_US)
     nulls = clean.null_summary(df).select("column")
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     cols = spark.createDataFrame([(c,) for c in numeric], "column string")
@@ -205,7 +205,7 @@ def f19_date_prefix_filter(spark, d):
 SELECT id, coin, curr_time, time_to_close, yes_bid_dollars FROM prepf WHERE time_to_close = 60""")
 def f20_point_lookup(spark, d):
     """the rows at one time-to-close."""
-    return feat.prepare_kalshi(_kal(spark, d)).where("time_to_close = 60").select(
+    return feat.prepare_kalshi(_kal(spark, d), UNIT_US).where("time_to_close = 60").select(
         "id", "coin", "curr_time", "time_to_close", "yes_bid_dollars")
 
 
@@ -273,7 +273,7 @@ SELECT coin, trade_time, last_price FROM (
 QUALIFY row_number() OVER (PARTITION BY coin ORDER BY trade_time DESC) <= 48""")
 def t6_tail_bars(spark, d):
     """Last N (48) bars of each coin's series."""
-    bars = feat.spot_bars(_tr(spark, d), None).select("coin", "trade_time", F.col("btc_spot_price").alias("last_price"))
+    bars = feat.spot_bars(_tr(spark, d), None, UNIT_US).select("coin", "trade_time", F.col("btc_spot_price").alias("last_price"))
     w = Window.partitionBy("coin").orderBy(F.col("trade_time").desc())
     return bars.withColumn("_rn", F.row_number().over(w)).where("_rn <= 48").drop("_rn")
 
@@ -292,7 +292,7 @@ FROM (SELECT coin, open_time, close_time, arg_max_null((yes_ask_dollars + yes_bi
       FROM prepf GROUP BY ALL)""")
 def a1_event_outcome(spark, d):
     """A1: outcome per event = last mid (by time) above 0.5; a null last mid stays null."""
-    k = feat.prepare_kalshi(_kal(spark, d))
+    k = feat.prepare_kalshi(_kal(spark, d), UNIT_US)
     m = F.max_by((F.col("yes_ask_dollars") + F.col("yes_bid_dollars")) / 2, "curr_time")
     return (k.groupBy("coin", "open_time", "close_time").agg(m.alias("last_mid"))
             .withColumn("outcome", F.when(F.col("last_mid").isNull(), None).otherwise((F.col("last_mid") > 0.5).cast("int"))))
@@ -336,7 +336,7 @@ GROUP BY time_to_close""", ["median"])
 def a5_quantile_bands(spark, d):
     """A5: median (linear) and nearest-rank q10/25/75/90 of the BTC mid per time-to-close."""
     from tidemark.operators.stats import quantile_bands
-    k = feat.prepare_kalshi(_kal(spark, d)).where("coin = 'BTC'")
+    k = feat.prepare_kalshi(_kal(spark, d), UNIT_US).where("coin = 'BTC'")
     x = k.select("time_to_close", ((F.col("yes_ask_dollars") + F.col("yes_bid_dollars")) / 2).alias("x"))
     return quantile_bands(x, "time_to_close", "x", dict(_QS))
 
@@ -405,7 +405,7 @@ _LIVE_SQL = """live AS (
 def w12_live_spot_windows(spark, d):
     """The live engine's spot windows: population std, partial windows allowed (from 2 rows)."""
     from tidemark.operators.stats import live_spot_windows
-    return live_spot_windows(feat.spot_features(_tr(spark, d), "BTC")).select("trade_time", *_LIVE)
+    return live_spot_windows(feat.spot_features(_tr(spark, d), "BTC", UNIT_US)).select("trade_time", *_LIVE)
 
 
 # ---------------------------------------------------------------- J: joins
@@ -420,7 +420,7 @@ def j1_asof_spot(spark, d):
 
 
 @register("j6_range_join_trades", W([VIEW_SQL["quotes"], VIEW_SQL["trades"], KAL_SQL, TR_SQL, PREP_SQL, FEAT_SQL]) + """
-SELECT k.curr_time, count(*) AS trade_count, round(sum(size), 9) AS size_sum,
+SELECT k.coin, k.curr_time, count(*) AS trade_count, round(sum(size), 9) AS size_sum,
        round(sum(CASE WHEN side = 'buy' THEN size ELSE 0 END), 9) AS buy_size_sum,
        round(sum(CASE WHEN side = 'sell' THEN size ELSE 0 END), 9) AS sell_size_sum,
        round(sum(CASE WHEN side = 'buy' THEN size ELSE 0 END) - sum(CASE WHEN side = 'sell' THEN size ELSE 0 END), 9) AS size_imbalance,
@@ -428,11 +428,11 @@ SELECT k.curr_time, count(*) AS trade_count, round(sum(size), 9) AS size_sum,
        round(sum(t.price * size) / sum(size), 9) AS vwap
 FROM (SELECT coin, curr_time, prev_time FROM feat) k
 JOIN tr t ON t.coin = k.coin AND t.trade_time >= k.prev_time AND t.trade_time <= k.curr_time
-GROUP BY k.curr_time""", ["size_sum", "buy_size_sum", "sell_size_sum", "size_imbalance", "price_mean", "price_std", "vwap"])
+GROUP BY k.coin, k.curr_time""", ["size_sum", "buy_size_sum", "sell_size_sum", "size_imbalance", "price_mean", "price_std", "vwap"])
 def j6_range_join_trades(spark, d):
     """J6 + A4: trades inside [prev_time, curr_time] of each gated tick, both ends inclusive."""
-    ticks = feat.coin_features(_kal(spark, d), _tr(spark, d))
-    return variants.tick_trade_features(ticks, _tr(spark, d))
+    ticks = feat.coin_features(_kal(spark, d), _tr(spark, d), unit_us=UNIT_US)
+    return variants.tick_trade_features(ticks, _tr(spark, d), UNIT_US)
 
 
 @register("j10_train_event_rows", W([VIEW_SQL["quotes"], KAL_SQL, PREP_SQL]) + """
@@ -446,7 +446,7 @@ WHERE p.coin = 'BTC'""")
 def j10_train_event_rows(spark, d):
     """J10 + M1: rows of the events in the chronological training split (semi join)."""
     from tidemark.ml.split import chrono_event_split
-    k = feat.prepare_kalshi(_kal(spark, d)).where("coin = 'BTC'")
+    k = feat.prepare_kalshi(_kal(spark, d), UNIT_US).where("coin = 'BTC'")
     ev = chrono_event_split(k, ["open_time", "close_time"], "open_time", 0.7).where("split = 'train'")
     return k.join(ev, ["open_time", "close_time"], "left_semi").select("id", "coin", "open_time", "curr_time")
 
@@ -471,7 +471,8 @@ FROM p1 ASOF LEFT JOIN (SELECT coin, trade_time, price FROM tr WHERE coin = 'BTC
 @register("q5_polymarket_features", _Q5_SQL)
 def q5_polymarket_features(spark, d):
     """Q5: BTC second-venue features."""
-    return variants.polymarket_features(clean.clean_polymarket(tv.poly(spark, d), COINS, with_id=False), _tr(spark, d))
+    return variants.polymarket_features(clean.clean_polymarket(tv.poly(spark, d), COINS, with_id=False), _tr(spark, d),
+                                        unit_us=UNIT_US, max_ttc=tv.EVENT_S // tv.UNIT_S)
 
 
 def _q8_sql():
@@ -509,7 +510,7 @@ def _q8_sql():
 @register("q8_notebook_tolerance_asof", _q8_sql())
 def q8_notebook_tolerance_asof(spark, d):
     """Q8: notebook build: gated BTC, other coins as-of with a 2-unit tolerance (J3), outcome."""
-    out = variants.notebook_combined(_kal(spark, d), _tr(spark, d))
+    out = variants.notebook_combined(_kal(spark, d), _tr(spark, d), unit_us=UNIT_US)
     keep = ["id", "curr_time", "open_time", "close_time", "time_to_close", "prev_time", "price", "trade_time",
             "distance_from_strike", "yes_mid_dollars", "outcome"]
     return out.select(*keep, *[f"{c}_{f}" for c in ("ETH", "XRP", "SOL") for f in variants.NB_FEATURES])
@@ -533,4 +534,4 @@ SELECT *, CAST(CASE WHEN lp IS NULL THEN NULL ELSE lp > 0.5 END AS INTEGER) AS o
 @register("q9_equijoin_variant", _q9_sql())
 def q9_equijoin_variant(spark, d):
     """Q9: exact-time left joins of coin frames (J8), next-price target (W2), outcome."""
-    return variants.equijoin_combined(_kal(spark, d))
+    return variants.equijoin_combined(_kal(spark, d), unit_us=UNIT_US)

@@ -19,21 +19,29 @@ _TRADES_SQL = W([VIEW_SQL["trades"], RAW_SPOT_SQL, """pt AS (
   SELECT CAST(json_extract(raw, '$.trade_id') AS BIGINT) AS trade_id, json_extract_string(raw, '$.product_id') AS product_id,
          TRY_CAST(json_extract_string(raw, '$.price') AS DOUBLE) AS price, TRY_CAST(json_extract_string(raw, '$.size') AS DOUBLE) AS size,
          json_extract_string(raw, '$.side') AS side, CAST(json_extract(raw, '$.sequence') AS BIGINT) AS sequence,
-         TRY_CAST(replace(json_extract_string(raw, '$.time'), 'Z', '') AS TIMESTAMP) AS trade_time
+         TRY_CAST(replace(json_extract_string(raw, '$.time'), 'Z', '') AS TIMESTAMP) AS trade_time,
+         CAST(json_extract(raw, '$.arrival') AS BIGINT) AS arrival
   FROM raw WHERE json_valid(raw) AND json_extract_string(raw, '$.type') = 'match')"""])
 
-_TRADE_SCHEMA = "trade_id long, product_id string, price double, size double, side string, sequence long, trade_time timestamp"
+_TRADE_SCHEMA = "trade_id long, product_id string, price double, size double, side string, sequence long, trade_time timestamp, arrival long"
+
+
+N_BATCHES = 4
 
 
 def _landed(spark, d, name):
-    return jobs.land_messages(raw_spot_messages(spark, d), jobs.new_dir(spark, f"{name}-src"))
+    """Messages in order of arrival, in files that the jobs read one per micro-batch."""
+    return jobs.land_in_order(raw_spot_messages(spark, d), jobs.new_dir(spark, f"{name}-src"), "id", N_BATCHES)
+
+
+def _typed(spark, d, name, watermark="400 days"):
+    return jobs.typed_trade_stream(spark, _landed(spark, d, name), max_files=1, watermark=watermark)
 
 
 @register("r1_stream_typed_trades", _TRADES_SQL + "\nSELECT * FROM pt")
 def r1_stream_typed_trades(spark, d):
     """R1 + R2: message stream -> typed trades via micro-batches into per-batch folders."""
-    src = _landed(spark, d, "r1")
-    out = jobs.run_available_now(jobs.typed_trade_stream(spark, src), spark, "r1")
+    out = jobs.run_available_now(_typed(spark, d, "r1"), spark, "r1")
     return jobs.read_batches(spark, out, _TRADE_SCHEMA).drop("batch_id")
 
 
@@ -44,8 +52,7 @@ SELECT replace(product_id, '-USD', '') AS coin,
 FROM pt GROUP BY 1, 2""", ["size_sum"])
 def r3_stream_bars(spark, d):
     """Event-time unit bars with a watermark (update mode, latest version per bar kept)."""
-    src = _landed(spark, d, "r3")
-    bars = jobs.stream_bars(jobs.typed_trade_stream(spark, src), UNIT_US, "2 hours")
+    bars = jobs.stream_bars(_typed(spark, d, "r3"), UNIT_US)
     out = jobs.run_available_now(bars, spark, "r3", mode="update")
     rows = jobs.read_batches(spark, out, "coin string, bar_time timestamp, last_price double, size_sum double, n_trades long")
     return jobs.latest_per_key(rows, ["coin", "bar_time"])
@@ -55,28 +62,25 @@ def r3_stream_bars(spark, d):
 SELECT trade_id, count(*) AS n FROM (SELECT DISTINCT trade_id FROM pt) GROUP BY trade_id""")
 def r6_stream_dedupe(spark, d):
     """Repeated trade ids dropped within the watermark (each id kept once)."""
-    src = _landed(spark, d, "r6")
-    dd = jobs.dedupe_stream(jobs.typed_trade_stream(spark, src), "7 days")
+    dd = jobs.dedupe_stream(_typed(spark, d, "r6"))
     out = jobs.run_available_now(dd, spark, "r6")
     rows = jobs.read_batches(spark, out, _TRADE_SCHEMA)
     return rows.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("r7_stream_sequence_gaps", _TRADES_SQL + """
-SELECT product_id, sequence, CASE WHEN prev IS NULL THEN 0 WHEN sequence > prev THEN sequence - prev - 1 ELSE 0 END AS gap
-FROM (SELECT *, lag(sequence) OVER (PARTITION BY product_id ORDER BY sequence) AS prev FROM pt)""")
+SELECT product_id, sequence, arrival, CASE WHEN prev IS NULL THEN 0 WHEN sequence > prev THEN sequence - prev - 1 ELSE 0 END AS gap
+FROM (SELECT *, lag(sequence) OVER (PARTITION BY product_id ORDER BY arrival) AS prev FROM pt WHERE sequence IS NOT NULL)""")
 def r7_stream_sequence_gaps(spark, d):
     """Stateful per-product sequence-gap alarm (state = last sequence number)."""
-    src = _landed(spark, d, "r7")
-    g = jobs.sequence_gap_alarm(jobs.typed_trade_stream(spark, src))
+    g = jobs.sequence_gap_alarm(_typed(spark, d, "r7"))
     out = jobs.run_available_now(g, spark, "r7")
-    return jobs.read_batches(spark, out, "product_id string, sequence long, gap long").drop("batch_id")
+    return jobs.read_batches(spark, out, "product_id string, sequence long, arrival long, gap long").drop("batch_id")
 
 
 @register("r10_stream_buffer_status", _TRADES_SQL + """
 SELECT replace(product_id, '-USD', '') AS coin, count(*) AS n FROM pt GROUP BY 1""")
 def r10_stream_buffer_status(spark, d):
     """Rows per coin in update mode (latest count per coin)."""
-    src = _landed(spark, d, "r10")
-    out = jobs.run_available_now(jobs.coin_counts(jobs.typed_trade_stream(spark, src)), spark, "r10", mode="update")
+    out = jobs.run_available_now(jobs.coin_counts(_typed(spark, d, "r10")), spark, "r10", mode="update")
     return jobs.latest_per_key(jobs.read_batches(spark, out, "coin string, n long"), ["coin"])

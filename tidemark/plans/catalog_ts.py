@@ -51,7 +51,7 @@ _BARS = f"""b AS (
 @register("x1_acf_level", "WITH " + VIEW_SQL["trades"] + ",\n" + _BARS + _acf_sql("b"), ["acf"])
 def x1_acf_level(spark, d):
     """Autocorrelation to lag 7 of each coin's bar price level."""
-    bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), COINS, with_id=False), None).select(
+    bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), COINS, with_id=False), None, UNIT_US).select(
         "coin", F.col("trade_time").alias("bar_time"), F.col("btc_spot_price").alias("x"))
     return ts.acf(bars, "coin", "bar_time", "x")
 
@@ -60,7 +60,7 @@ def x1_acf_level(spark, d):
 db AS (SELECT coin, bar_time, x - lag(x) OVER (PARTITION BY coin ORDER BY bar_time) AS x FROM b QUALIFY x IS NOT NULL)""" + _acf_sql("db"), ["acf"])
 def x1_acf_difference(spark, d):
     """Autocorrelation to lag 7 of each coin's first-differenced bar price."""
-    bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), COINS, with_id=False), None).select(
+    bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), COINS, with_id=False), None, UNIT_US).select(
         "coin", F.col("trade_time").alias("bar_time"), F.col("btc_spot_price").alias("x"))
     w = Window.partitionBy("coin").orderBy("bar_time")
     db = bars.withColumn("x", F.col("x") - F.lag("x").over(w)).where(F.col("x").isNotNull())

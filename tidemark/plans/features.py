@@ -5,7 +5,7 @@ partitioned by market event (coin, open_time, close_time), a natural, bounded pa
 (an event spans ``EVENT_S`` of quotes). Per-coin series without an event key (spot bars) use
 chunked row windows; as-of joins use the bucketed carry-in form.
 
-Time parameters: ``unit_us`` is the reference's one second; defaults are the test-table scale.
+Time parameters: ``unit_us`` is one poll interval, a second; the query catalogs pass the test tables' scale.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from tidemark.operators.clean import (EVENT_COLS, clean_kalshi, clean_trades, de
 from tidemark.operators.ordering import dense_index, rolling_in_chunks
 from tidemark.operators.windows import rolling_full
 from tidemark.session import ensure_checkpoint_dir
-from tidemark.sources.testviews import COINS, UNIT_US
 
+UNIT_US = 1_000_000
+# Coins, feature names and their order are part of the output.
+COINS = ("BTC", "ETH", "XRP", "SOL")
 QUOTE_FEATURES = [
     "last_price_dollars", "yes_mid_dollars", "yes_spread_dollars", "distance_from_strike",
     "yes_mid_change_1s", "yes_mid_change_5s", "yes_mid_change_std_30s", "yes_mid_change_std_60s",
@@ -35,6 +37,11 @@ SPOT_FEATURES = [
 ]
 
 
+def of_coins(trades: DataFrame, coins: Sequence[str] | None) -> DataFrame:
+    """Trades of some coins, cut at the scan: before dedupe and joins shuffle anything."""
+    return trades if coins is None else trades.where(F.col("product_id").isin([f"{c}-USD" for c in coins]))
+
+
 def whole_units(later: str, earlier: str, unit_us: int):
     """Elapsed whole units between two timestamp columns, truncated toward zero."""
     return F.expr(f"(unix_micros({later}) - unix_micros({earlier})) div {unit_us}")
@@ -62,7 +69,7 @@ def coin_features(kalshi: DataFrame, trades: DataFrame, coins: Sequence[str] | N
         k = k.withColumn("next_price_dollars_lead1", F.lead("last_price_dollars").over(ev))
     gap = whole_units("curr_time", "prev_time", unit_us)
     k = k.where(gap.between(gap_lo, gap_hi))  # W3 on truncated units: gap == 1 unit
-    spot = prepare_trades(trades).select("coin", "trade_time", "price")
+    spot = prepare_trades(of_coins(trades, coins)).select("coin", "trade_time", "price")
     k = asof_join(k, AsofRight(spot, "trade_time", ["price"]), "curr_time", by=["coin"])
     k = k.select("*",
                  ((F.col("yes_ask_dollars") + F.col("yes_bid_dollars")) / 2).alias("yes_mid_dollars"),
@@ -129,9 +136,7 @@ def build_btc_kalshi(kalshi: DataFrame, trades: DataFrame, unit_us: int = UNIT_U
 
 def spot_bars(trades: DataFrame, coin: str | None = "BTC", unit_us: int = UNIT_US) -> DataFrame:
     """A2: right-closed, right-labelled bars (t-1u, t]: last price, sum size, sum signed size."""
-    t = prepare_trades(trades)
-    if coin is not None:
-        t = t.where(F.col("coin") == coin)
+    t = prepare_trades(of_coins(trades, None if coin is None else [coin]))
     label = F.expr(f"timestamp_micros(((unix_micros(trade_time) + {unit_us - 1}) div {unit_us}) * {unit_us})")
     return (t.groupBy("coin", label.alias("trade_time"))
             .agg(F.max_by("price", F.struct("trade_time", "id")).alias("btc_spot_price"),

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import AsofRight, asof_join
 from tidemark.operators.clean import EVENT_COLS, dedupe_first, prepare_trades
 from tidemark.operators.rangejoin import range_join
-from tidemark.plans.features import whole_units
-from tidemark.sources.testviews import EVENT_S, UNIT_S, UNIT_US
+from tidemark.plans.features import UNIT_US, of_coins, whole_units
 
 POLY_EVENT = ["coin", "interval_start_unix", "end_date"]
 
 
 def polymarket_features(poly: DataFrame, trades: DataFrame, coin: str = "BTC", unit_us: int = UNIT_US,
-                        max_ttc: int = EVENT_S // UNIT_S) -> DataFrame:
+                        max_ttc: int = 900) -> DataFrame:
     """Q5: second-venue ticks: ttc window, dedupe, lag time / volume (W1, W10), spot as-of, F8, F12."""
     p = poly.where(F.col("coin") == coin).withColumn("time_to_close", whole_units("end_date", "curr_time", unit_us))
     p = p.where((F.col("time_to_close") >= 0) & (F.col("time_to_close") <= max_ttc))
@@ -25,7 +24,7 @@ def polymarket_features(poly: DataFrame, trades: DataFrame, coin: str = "BTC", u
     w = Window.partitionBy(*POLY_EVENT).orderBy("curr_time")
     p = p.select("*", F.lag("curr_time").over(w).alias("prev_time"),
                  F.coalesce(F.col("volume") - F.lag("volume").over(w), F.lit(0.0)).alias("volume_delta_raw"))
-    spot = prepare_trades(trades).where(F.col("coin") == coin).select("coin", "trade_time", "price")
+    spot = prepare_trades(of_coins(trades, [coin])).select("coin", "trade_time", "price")
     p = asof_join(p, AsofRight(spot, "trade_time", ["price"]), "curr_time", by=["coin"])
     return p.select(
         "curr_time",
@@ -51,7 +50,7 @@ def notebook_btc_frame(kalshi: DataFrame, trades: DataFrame, unit_us: int = UNIT
     ev = Window.partitionBy(*EVENT_COLS).orderBy("curr_time")
     k = k.withColumn("prev_time", F.lag("curr_time").over(ev))
     k = k.where(whole_units("curr_time", "prev_time", unit_us).between(0.9, 1.1))
-    spot = prepare_trades(trades).select("coin", "trade_time", "price")
+    spot = prepare_trades(of_coins(trades, ["BTC"])).select("coin", "trade_time", "price")
     k = asof_join(k, AsofRight(spot, "trade_time", ["price", "trade_time"]), "curr_time", by=["coin"])
     k = k.select("*", (F.col("price") - F.col("floor_strike")).alias("distance_from_strike"),
                  ((F.col("yes_ask_dollars") + F.col("yes_bid_dollars")) / 2).alias("yes_mid_dollars"))
@@ -116,7 +115,7 @@ def tick_trade_features(ticks: DataFrame, trades: DataFrame, bucket_us: int = UN
                        "trade_time", bucket_us, by=["coin"])
     buy = F.when(F.col("side") == "buy", F.col("size")).otherwise(F.lit(0.0))
     sell = F.when(F.col("side") == "sell", F.col("size")).otherwise(F.lit(0.0))
-    return (pairs.groupBy("curr_time")
+    return (pairs.groupBy("coin", "curr_time")
             .agg(F.count(F.lit(1)).alias("trade_count"), F.sum("size").alias("size_sum"),
                  F.sum(buy).alias("buy_size_sum"), F.sum(sell).alias("sell_size_sum"),
                  (F.sum(buy) - F.sum(sell)).alias("size_imbalance"),

@@ -1,9 +1,10 @@
 """Structured Streaming twins of ingestion and features.
 
-Sources are JSON message files (landed messages); every job runs with an explicit schema, an
-event-time watermark that bounds its state, a checkpoint under the shared checkpoint folder and
-``foreachBatch`` sinks that are idempotent per batch id (a retried batch overwrites its own
-output directory). ``run_available_now`` drives a job to completion (tests, backfills).
+Sources are JSON message files (landed messages); every job runs with an explicit schema, a checkpoint
+under the shared checkpoint folder and ``foreachBatch`` sinks that are idempotent per batch id (a retried
+batch overwrites its own output directory). Typed rows carry an event-time watermark, which bounds the
+state of bars (R3) and dedupe (R6); rows later than it are counted (R11). The other states are one row per
+product or coin. ``run_available_now`` drives a job to completion (tests, backfills).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +35,18 @@ def land_messages(df: DataFrame, path: str, files: int = 8) -> str:
     return path
 
 
-def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
-    """Raw message stream -> typed trade rows (P1 routing + P2 parsing)."""
+def land_in_order(df: DataFrame, path: str, order: str, batches: int) -> str:
+    """Write ``raw`` in ``batches`` files, one after the other in ``order``: the folder of a recorder."""
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    part = F.floor((F.col(order) - lo) * batches / max(1, (hi or 0) - (lo or 0) + 1))
+    for i in range(batches):
+        df.where(part == i).select("raw").coalesce(1).write.mode("append").text(path)
+    return path
+
+
+def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None,
+                       watermark: str = "7 days") -> DataFrame:
+    """Raw message stream -> typed trade rows (P1 routing + P2 parsing), in batches of ``max_files``."""
     r = spark.readStream.schema(RAW_SCHEMA).format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -42,7 +54,7 @@ def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = No
     m = raw.select(F.from_json("raw", TRADE_MSG).alias("m")).where(F.col("m.type") == "match").select("m.*")
     return m.select("trade_id", "product_id", F.expr("try_cast(price AS DOUBLE)").alias("price"),
                     F.expr("try_cast(size AS DOUBLE)").alias("size"), "side", "sequence",
-                    F.expr("try_cast(time AS TIMESTAMP)").alias("trade_time"))
+                    F.expr("try_cast(time AS TIMESTAMP)").alias("trade_time"), "arrival").withWatermark("trade_time", watermark)
 
 
 def batch_sink(out: str):
@@ -60,20 +72,26 @@ def run_available_now(sdf: DataFrame, spark: SparkSession, name: str, mode: str
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
     q = w.start()
     q.awaitTermination()
+    LATE[out] = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
     return out
 
 
+#: Rows that a finished job dropped as later than its watermark, by output folder.
+LATE: dict[str, int] = {}
+
+
 def read_batches(spark: SparkSession, out: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema + ", batch_id long").parquet(out)
-    except Exception:  # no batch produced any rows
+    """Rows of all batches with their ``batch_id``; a job without any batch has no folder and no rows."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], schema + ", batch_id long")
+    return spark.read.schema(schema + ", batch_id long").parquet(out)
 
 
-def stream_bars(trades: DataFrame, unit_us: int, watermark: str) -> DataFrame:
-    """Right-closed unit bars by event time with a watermark (state is dropped once closed)."""
+def stream_bars(trades: DataFrame, unit_us: int) -> DataFrame:
+    """Right-closed unit bars by event time ; a bar's state is dropped once the watermark has passed it."""
     label = F.expr(f"timestamp_micros(((unix_micros(trade_time) + {unit_us - 1}) div {unit_us}) * {unit_us})")
-    t = trades.withWatermark("trade_time", watermark).withColumn("coin", F.regexp_replace("product_id", "-USD", ""))
+    t = trades.withColumn("coin", F.regexp_replace("product_id", "-USD", ""))
     return (t.groupBy("coin", label.alias("bar_time"))
             .agg(F.max_by("price", F.struct("trade_time", "trade_id")).alias("last_price"),
                  F.sum("size").alias("size_sum"), F.count(F.lit(1)).alias("n_trades")))
@@ -85,25 +103,26 @@ def latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 
 
-def dedupe_stream(trades: DataFrame, watermark: str) -> DataFrame:
+def dedupe_stream(trades: DataFrame) -> DataFrame:
     """Drop repeated trade ids within the watermark delay."""
-    return trades.withWatermark("trade_time", watermark).dropDuplicatesWithinWatermark(["trade_id"])
+    return trades.dropDuplicatesWithinWatermark(["trade_id"])
 
 
 def sequence_gap_alarm(trades: DataFrame) -> DataFrame:
-    """Per product, missing sequence numbers since the previous message (state = last seq)."""
+    """Per product and message, in order of arrival, how many sequence numbers were skipped since the
+    message before (state = the last number). A number that does not advance gives 0 and is the new last
+    one. A key's rows of one micro-batch are put in order of arrival together: Spark hands them over in
+    Arrow chunks of no particular order; a batch is bounded by ``max_files``."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        prev = state.get[0] if state.exists else None
-        for pdf in pdfs:
-            pdf = pdf.sort_values("sequence", kind="mergesort")
-            gaps = []
-            for s in pdf["sequence"]:
-                gaps.append(0 if prev is None else (s - prev - 1 if s > prev else 0))
-                prev = s
-            state.update((int(prev),))
-            yield pd.DataFrame({"product_id": key[0], "sequence": pdf["sequence"].to_numpy(), "gap": gaps})
-    return trades.groupBy("product_id").applyInPandasWithState(
-        fn, "product_id string, sequence long, gap long", "last_seq long", "append", GroupStateTimeout.NoTimeout)
+        pdf = pd.concat(list(pdfs)).sort_values("arrival", kind="mergesort")
+        seq = pdf["sequence"].to_numpy()
+        before = np.r_[state.get[0] if state.exists else seq[0], seq[:-1]]
+        gap = np.where(seq > before, seq - before - 1, 0)
+        state.update((int(seq[-1]),))
+        yield pd.DataFrame({"product_id": key[0], "sequence": seq, "arrival": pdf["arrival"].to_numpy(), "gap": gap})
+    known = trades.where(F.col("sequence").isNotNull() & F.col("product_id").isNotNull())
+    return known.groupBy("product_id").applyInPandasWithState(
+        fn, "product_id string, sequence long, arrival long, gap long", "last_seq long", "append", GroupStateTimeout.NoTimeout)
 
 
 def coin_counts(trades: DataFrame) -> DataFrame:
