@@ -10,8 +10,9 @@ the smallest document that links lead to.
    shingle. Prefix rows are dealt out by shingle, a task's equal sets once. Shingles that a single class
    has go at once; shingles that the same classes have - a passage, a copied text - are one from here on,
    with the earliest place of each class.
-4. A shingle's classes are first paired with one leader only, which is linear in the rows. After the length
-   and positional filters, a pair is verified once, with a suffix filter and then the whole sets.
+4. A shingle's classes are first paired with one leader only, the class that shares most, which is linear in
+   the rows. After the length and positional filters, a pair is verified once, with a suffix filter and
+   then the whole sets.
 5. Within a shingle, classes that the verified links have not yet joined are then paired with each other -
    group against group, so members of one component never meet. Linked sets that are still apart share a
    prefix shingle, so no link between components is missed; pairs verified before are not verified again.
@@ -233,6 +234,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
              .join(of.select(F.col("cid").alias("b"), F.struct("digest", "rep").alias("two")), "b"))
     named = written(named, "named-pairs")
     sets = sets_of(docs, named.select("one.rep").unionByName(named.select("two.rep")).distinct())
+    sets = sets.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "digest")  # one shuffle for both joins
     one, two = F.col("one.digest"), F.col("two.digest")
     both = (named.select("a", "b", one.alias("d1"), two.alias("d2"))
             .join(sets.select(F.col("digest").alias("d1"), F.col("members").alias("left")), "d1")
@@ -279,12 +281,15 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     low, high = F.min("name").over(by_token), F.max("name").over(by_token)
     rows = rows.withColumn("__low", low).withColumn("__high", high).where("__low <> __high").dropDuplicates(["token", "name"])
     same = F.xxhash64("__low", "__high", F.bit_xor(F.xxhash64("name")).over(by_token), F.count("*").over(by_token))
-    rows = rows.select("name", "n", "pos", same.alias("token")).groupBy("token", "name").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    names = classes.select("cid", F.col("name").alias("__name"))
-    shared = written(rows.join(names, F.col("name") == F.col("__name")).select("token", "cid", "n", "pos"), "shared-shingles")
+    rows = rows.select("name", "n", "pos", F.count("*").over(by_token).alias("k"), same.alias("token"))
+    rows = written(rows.groupBy("token", "name").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.max("k").alias("k")), "shared-names")
+    # how much of a set others share: of a text and its edited copies, the text shares most
+    central = rows.groupBy(F.col("name").alias("__name")).agg(F.sum("k").alias("central"))
+    names = classes.select("cid", "name").join(central, F.col("name") == F.col("__name")).drop("name")
+    shared = written(rows.join(names, F.col("name") == F.col("__name")).select("token", "cid", "n", "pos", "central"), "shared-shingles")
 
     # one leader for each shingle
-    leaders = shared.groupBy(F.col("token").alias("__t")).agg(F.min(F.struct("cid", "n", "pos")).alias("__lead"), F.count("*").alias("__k")).where("__k > 1")
+    leaders = shared.groupBy(F.col("token").alias("__t")).agg(F.min(F.struct(-F.col("central"), "cid", "n", "pos")).alias("__lead"), F.count("*").alias("__k")).where("__k > 1")
     led = shared.join(leaders, F.col("token") == F.col("__t")).select(
         "n", "pos", F.col("cid").alias("y"), F.col("__lead.cid").alias("x"), F.col("__lead.n").alias("m"), F.col("__lead.pos").alias("j"))
     pairs = written(ordered(led.where(may_link("n", "pos", "m", "j"))), "leader-pairs")
