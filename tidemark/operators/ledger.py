@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.market import taker_fee
+from tidemark.operators.ordering import prefix_sums
 
 KEY = ["ticker", "side"]
 SCALE_BLOCK = 300.0
@@ -158,25 +159,83 @@ def settle(lots: DataFrame, outcomes: DataFrame) -> DataFrame:
     return j.withColumn("won", won).withColumn("pnl", pnl)
 
 
+# Hard limit on dollars at risk, and on open markets.
+HARD_CAP = 100.0
+MAX_MARKETS = 4
+
+
+def limit_check(signals: DataFrame, state: DataFrame, held: DataFrame, by: Sequence[str] = ("portfolio",),
+                hard_cap: float = HARD_CAP, max_markets: int = MAX_MARKETS) -> DataFrame:
+    """Signals (``by``, ticker, price, contracts) against a given position state.
+
+    ``state``: per ``by`` the ``exposure``, ``open_markets`` and the current ``limit``; ``held``: the (``by``,
+    ticker) pairs with a position. ``reason`` is the first that applies of non_positive, market_cap (a new market
+    beyond the cap), exposure, hard_cap, else ok; ``capped`` the most contracts within the limit."""
+    by = list(by)
+    x = signals.join(state, by, "left").join(held.select(*by, "ticker").distinct().withColumn("_held", F.lit(True)), [*by, "ticker"], "left")
+    exposure, limit = F.coalesce("exposure", F.lit(0.0)), F.coalesce("limit", F.lit(hard_cap))
+    projected = exposure + F.col("contracts") * F.col("price")
+    flat = F.col("_held").isNull()
+    reason = (F.when(F.col("contracts") <= 0, "non_positive")
+              .when(flat & (F.coalesce("open_markets", F.lit(0)) >= max_markets), "market_cap")
+              .when(projected > limit, "exposure").when(projected > hard_cap, "hard_cap").otherwise("ok"))
+    room = F.when(F.col("price") > 0, (F.greatest(F.lit(0.0), limit - exposure) / F.col("price")).cast("long")).otherwise(F.lit(0).cast("long"))
+    capped = F.greatest(F.lit(0).cast("long"), F.least(F.col("contracts").cast("long"), room))
+    return x.select(*signals.columns, reason.alias("reason"), capped.alias("capped"))
+
+
+def cash_events(fills: DataFrame, settled: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Signed cash of every fill and settlement: a buy costs price and fee per contract, a sell of held
+    contracts brings price less fee, a won contract pays 1 when its market settles (``settled_at``)."""
+    rp = running_position(fills, order)
+    fee = taker_fee(F.col("price"))
+    cash = F.when(F.col("action") == "buy", -F.col("contracts") * (F.col("price") + fee)).otherwise(F.col("effective_sell") * (F.col("price") - fee))
+    paid = settled.where("won").select(F.col("settled_at").alias("time"), F.lit(1).alias("kind"), *[c for c in order if c != "time"], "side", F.col("contracts").cast("double").alias("cash"))
+    return rp.select("time", F.lit(0).alias("kind"), *[c for c in order if c != "time"], "side", cash.alias("cash")).unionByName(paid)
+
+
+def cash_curve(events: DataFrame, order: Sequence[str], start: float = 0.0) -> DataFrame:
+    """The account's cash after every event; running sums over range partitions, not one task."""
+    run = prefix_sums(events, list(order), ["cash"])
+    return run.withColumn("balance", F.col("cash_cum") + F.lit(start)).drop("cash_cum")
+
+
+def balance_drift(reported: DataFrame, paper: DataFrame, by: str = "portfolio") -> DataFrame:
+    """Reported balance less paper equity (cash + open exposure)."""
+    equity = F.col("cash") + F.col("exposure")
+    return reported.join(paper, by).select(by, "balance", equity.alias("paper_equity"), (F.col("balance") - equity).alias("drift"))
+
+
+def pnl_per_window(events: DataFrame, window: Sequence[str], pnl: str = "pnl") -> DataFrame:
+    """PnL summed per event window, then its largest and smallest."""
+    per = events.groupBy(*window).agg(F.sum(pnl).alias("window_pnl"))
+    return per.agg(F.max("window_pnl").alias("max_pnl"), F.min("window_pnl").alias("min_pnl"), F.count(F.lit(1)).alias("windows"))
+
+
 def admission_fold(fills: DataFrame, group: str, order: Sequence[str], limit: float = 100.0) -> DataFrame:
     """Exposure-limited admission in time order per portfolio (each accept moves the limit).
 
     An ordered fold per group with ``applyInPandas``: buys are cut to what the remaining limit
-    affords (whole contracts), sells release exposure at their price.
+    affords (whole contracts); a sell of held contracts releases them at their average entry. One
+    portfolio is one group in one task: each accept changes the next limit, so the order cannot be split.
     """
     order = list(order)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="mergesort")
+        held: dict[tuple, tuple[float, float]] = {}
         exp, out = 0.0, []
-        for action, price, n in zip(pdf["action"], pdf["price"], pdf["contracts"]):
+        for key, action, price, n in zip(zip(pdf["ticker"], pdf["side"]), pdf["action"], pdf["price"], pdf["contracts"]):
+            q, avg = held.get(key, (0.0, 0.0))
             if action == "buy":
-                afford = int((limit - exp) // price) if price > 0 else 0
-                ok = max(0, min(int(n), afford))
+                ok = max(0, min(int(n), int(max(0.0, limit - exp) / price))) if price > 0 else 0
+                if ok:
+                    held[key] = (q + ok, (avg * q + price * ok) / (q + ok))
                 exp += ok * price
             else:
-                ok = int(n)
-                exp = max(0.0, exp - ok * price)
+                ok = int(min(n, q))
+                held[key] = (q - ok, avg)
+                exp = max(0.0, exp - ok * avg)
             out.append((ok, exp))
         res = pdf[[group, *order]].copy()
         res["admitted"] = [o[0] for o in out]
@@ -184,5 +243,5 @@ def admission_fold(fills: DataFrame, group: str, order: Sequence[str], limit: fl
         return res
 
     schema = fills.select(group, *order).schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    return fills.select(group, *order, "action", "price", "contracts").groupBy(group).applyInPandas(
+    return fills.select(*dict.fromkeys([group, *order, "ticker", "side", "action", "price", "contracts"])).groupBy(group).applyInPandas(
         fold, f"{schema}, admitted long, exposure_after double")

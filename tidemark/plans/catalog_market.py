@@ -101,16 +101,18 @@ def f9_cross_sum_mid(spark, d):
 
 
 _TTC_RANGES = [("ge_0", "time_to_close >= 0"), ("within_event", "time_to_close BETWEEN 0 AND 120"),
-               ("mid_band", "time_to_close BETWEEN 40 AND 80"), ("early", "time_to_close BETWEEN 0 AND 40"),
+               ("mid_band", "time_to_close BETWEEN 13 AND 26"), ("early", "time_to_close BETWEEN 0 AND 40"),
                ("gt_0", "time_to_close > 0"), ("gt_neg", "time_to_close > -0.01")]
 
 
-@register("f10_ttc_ranges", W([VIEW_SQL["quotes"]]) + "\nSELECT * FROM (SELECT " + ", ".join(
-    f"CAST(count_if({c}) AS BIGINT) AS {n}" for n, c in _TTC_RANGES) + f" FROM (SELECT (epoch_us(close_time) - epoch_us(curr_time)) // {UNIT_US} AS time_to_close FROM quotes))")
+@register("f10_ttc_ranges", W([VIEW_SQL["quotes"], f"""t AS (
+  SELECT id, (epoch_us(close_time) - epoch_us(curr_time)) // {UNIT_US} AS time_to_close FROM quotes)"""]) + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS band, id, time_to_close FROM t WHERE {c}" for n, c in _TTC_RANGES))
 def f10_ttc_ranges(spark, d):
-    """row counts under each time-to-close range filter used by the reference."""
-    q = tv.quotes(spark, d).select(feat.whole_units("close_time", "curr_time", UNIT_US).alias("time_to_close"))
-    return q.agg(*[F.count_if(F.expr(c)).alias(n) for n, c in _TTC_RANGES])
+    """the rows that each time-to-close filter keeps; bands are the reference's at test scale. One scan."""
+    q = tv.quotes(spark, d).select("id", feat.whole_units("close_time", "curr_time", UNIT_US).alias("time_to_close"))
+    bands = F.array(*[F.when(F.expr(c), F.lit(n)) for n, c in _TTC_RANGES])
+    return q.select(F.explode(F.filter(bands, lambda b: b.isNotNull())).alias("band"), "id", "time_to_close")
 
 
 @register("f11_prefixed_eth_frame", W([VIEW_SQL["quotes"], VIEW_SQL["trades"], KAL_SQL, TR_SQL, PREP_SQL, FEAT_SQL]) + "\nSELECT curr_time, "
