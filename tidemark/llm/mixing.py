@@ -31,7 +31,7 @@ from tidemark.llm.common import sheltered, without
 BLOCK = 64
 PERIOD = 1000
 #: Documents of all sources together that share a hash bucket, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 SEED = 9
 #: The schedule (sources x phases, with the slots of a period for each phase) goes to all tasks as a
 #: broadcast up to this many slots, 8 bytes each; a larger one is joined by source.
