@@ -34,8 +34,11 @@ def _landed(spark, d, name):
     return jobs.land_in_order(raw_spot_messages(spark, d), jobs.new_dir(spark, f"{name}-src"), "id", N_BATCHES)
 
 
-def _typed(spark, d, name, watermark="400 days"):
-    return jobs.typed_trade_stream(spark, _landed(spark, d, name), max_files=1, watermark=watermark)
+WATERMARK = "400 days"  # arrival order is not time order in the test tables
+
+
+def _typed(spark, d, name):
+    return jobs.typed_trade_stream(spark, _landed(spark, d, name), max_files=1)
 
 
 @register("r1_stream_typed_trades", _TRADES_SQL + "\nSELECT * FROM pt")
@@ -52,7 +55,7 @@ SELECT replace(product_id, '-USD', '') AS coin,
 FROM pt GROUP BY 1, 2""", ["size_sum"])
 def r3_stream_bars(spark, d):
     """Event-time unit bars with a watermark (update mode, latest version per bar kept)."""
-    bars = jobs.stream_bars(_typed(spark, d, "r3"), UNIT_US)
+    bars = jobs.stream_bars(_typed(spark, d, "r3"), UNIT_US, WATERMARK)
     out = jobs.run_available_now(bars, spark, "r3", mode="update")
     rows = jobs.read_batches(spark, out, "coin string, bar_time timestamp, last_price double, size_sum double, n_trades long")
     return jobs.latest_per_key(rows, ["coin", "bar_time"])
@@ -62,7 +65,7 @@ def r3_stream_bars(spark, d):
 SELECT trade_id, count(*) AS n FROM (SELECT DISTINCT trade_id FROM pt) GROUP BY trade_id""")
 def r6_stream_dedupe(spark, d):
     """Repeated trade ids dropped within the watermark (each id kept once)."""
-    dd = jobs.dedupe_stream(_typed(spark, d, "r6"))
+    dd = jobs.dedupe_stream(_typed(spark, d, "r6"), WATERMARK)
     out = jobs.run_available_now(dd, spark, "r6")
     rows = jobs.read_batches(spark, out, _TRADE_SCHEMA)
     return rows.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"))

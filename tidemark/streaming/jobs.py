@@ -2,9 +2,8 @@
 
 Sources are JSON message files (landed messages); every job runs with an explicit schema, a checkpoint
 under the shared checkpoint folder and ``foreachBatch`` sinks that are idempotent per batch id (a retried
-batch overwrites its own output directory). Typed rows carry an event-time watermark, which bounds the
-state of bars (R3) and dedupe (R6); rows later than it are counted (R11). The other states are one row per
-product or coin. ``run_available_now`` drives a job to completion (tests, backfills).
+batch overwrites its own output directory). An event-time watermark bounds the state of bars (R3) and
+dedupe (R6), and rows later than it are counted (R11); the other states are one row per product or coin. ``run_available_now`` drives a job to completion (tests, backfills).
 """
 
 from __future__ import annotations
@@ -44,8 +43,7 @@ def land_in_order(df: DataFrame, path: str, order: str, batches: int) -> str:
     return path
 
 
-def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None,
-                       watermark: str = "7 days") -> DataFrame:
+def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
     """Raw message stream -> typed trade rows (P1 routing + P2 parsing), in batches of ``max_files``."""
     r = spark.readStream.schema(RAW_SCHEMA).format("text")
     if max_files:
@@ -54,7 +52,7 @@ def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = No
     m = raw.select(F.from_json("raw", TRADE_MSG).alias("m")).where(F.col("m.type") == "match").select("m.*")
     return m.select("trade_id", "product_id", F.expr("try_cast(price AS DOUBLE)").alias("price"),
                     F.expr("try_cast(size AS DOUBLE)").alias("size"), "side", "sequence",
-                    F.expr("try_cast(time AS TIMESTAMP)").alias("trade_time"), "arrival").withWatermark("trade_time", watermark)
+                    F.expr("try_cast(time AS TIMESTAMP)").alias("trade_time"), "arrival")
 
 
 def batch_sink(out: str):
@@ -88,11 +86,12 @@ def read_batches(spark: SparkSession, out: str, schema: str) -> DataFrame:
     return spark.read.schema(schema + ", batch_id long").parquet(out)
 
 
-def stream_bars(trades: DataFrame, unit_us: int) -> DataFrame:
-    """Right-closed unit bars by event time ; a bar's state is dropped once the watermark has passed it."""
+def stream_bars(trades: DataFrame, unit_us: int, watermark: str = "7 days") -> DataFrame:
+    """Right-closed unit bars by event time; the watermark is on the bar's own time, so a bar's state is
+    dropped once it has passed, and rows of dropped bars count as late."""
     label = F.expr(f"timestamp_micros(((unix_micros(trade_time) + {unit_us - 1}) div {unit_us}) * {unit_us})")
-    t = trades.withColumn("coin", F.regexp_replace("product_id", "-USD", ""))
-    return (t.groupBy("coin", label.alias("bar_time"))
+    t = trades.withColumn("bar_time", label).withColumn("coin", F.regexp_replace("product_id", "-USD", ""))
+    return (t.withWatermark("bar_time", watermark).groupBy("coin", "bar_time")
             .agg(F.max_by("price", F.struct("trade_time", "trade_id")).alias("last_price"),
                  F.sum("size").alias("size_sum"), F.count(F.lit(1)).alias("n_trades")))
 
@@ -103,9 +102,9 @@ def latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 
 
-def dedupe_stream(trades: DataFrame) -> DataFrame:
+def dedupe_stream(trades: DataFrame, watermark: str = "7 days") -> DataFrame:
     """Drop repeated trade ids within the watermark delay."""
-    return trades.dropDuplicatesWithinWatermark(["trade_id"])
+    return trades.withWatermark("trade_time", watermark).dropDuplicatesWithinWatermark(["trade_id"])
 
 
 def sequence_gap_alarm(trades: DataFrame) -> DataFrame:
