@@ -112,8 +112,11 @@ def exposure(pos: DataFrame, limit: float = 100.0) -> DataFrame:
         .withColumn("utilisation", F.col("exposure") / F.lit(limit))
 
 
-def fifo_lots(fills: DataFrame, order: Sequence[str], bucket: float = 64.0) -> DataFrame:
-    """FIFO matching of effective sells to buys per (ticker, side), partial lots split."""
+def fifo_lots(fills: DataFrame, order: Sequence[str], bucket: float | None = None) -> DataFrame:
+    """FIFO matching of effective sells to buys per (ticker, side), partial lots split. The bucket is 16 mean
+    fills wide unless given, so lots of any size are cut into few more pieces than there are fills."""
+    if bucket is None:
+        bucket = max(1.0, 16 * float(fills.agg(F.avg("contracts")).first()[0] or 1.0))
     rp = running_position(fills, order)
     w = Window.partitionBy(*KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     buy_q = F.when(F.col("action") == "buy", F.col("contracts")).otherwise(F.lit(0.0))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import dense_index, rolling_in_chunks
+
 
 def quantile_bands(df: DataFrame, key: str, x: str, qs: dict[str, float]) -> DataFrame:
     """A5: per key, linear median and nearest-rank quantiles (index round((n-1) q), half away from 0).
@@ -28,15 +30,20 @@ def histogram(df: DataFrame, x: str, bins: int) -> DataFrame:
             .groupBy("bins", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def live_spot_windows(spot: DataFrame) -> DataFrame:
+def live_spot_windows(spot: DataFrame, chunk_rows: int = 1 << 20) -> DataFrame:
     """The live engine's spot windows over bars: population std once two rows exist, means over
-    whatever rows exist (the batch features wait for full windows and use sample std)."""
-    w = Window.partitionBy("coin").orderBy("trade_time")
-    w30, w300 = w.rowsBetween(-29, 0), w.rowsBetween(-299, 0)
+    whatever rows exist (the batch features wait for full windows and use sample std). A coin's history is
+    cut into chunks of consecutive bars with 300 bars of context."""
+    bars = dense_index(spot, ["trade_time"], by=["coin"], name="_bar")
     r = F.col("btc_spot_return_1s")
-    return spot.select(
-        "*",
-        F.when(F.count(r).over(w30) >= 2, F.stddev_pop(r).over(w30)).otherwise(F.lit(0.0)).alias("live_vol_30"),
-        F.when(F.count(r).over(w300) >= 2, F.stddev_pop(r).over(w300)).otherwise(F.lit(0.0)).alias("live_vol_300"),
-        F.avg("btc_spot_signed_size_1s").over(w30).alias("live_flow_mean_30"),
-        F.avg("btc_spot_size_1s").over(w30).alias("live_size_mean_30"))
+
+    def compute(df: DataFrame, w: Window) -> DataFrame:
+        w30, w300 = w.rowsBetween(-29, 0), w.rowsBetween(-299, 0)
+        return df.select(
+            "*",
+            F.when(F.count(r).over(w30) >= 2, F.stddev_pop(r).over(w30)).otherwise(F.lit(0.0)).alias("live_vol_30"),
+            F.when(F.count(r).over(w300) >= 2, F.stddev_pop(r).over(w300)).otherwise(F.lit(0.0)).alias("live_vol_300"),
+            F.avg("btc_spot_signed_size_1s").over(w30).alias("live_flow_mean_30"),
+            F.avg("btc_spot_size_1s").over(w30).alias("live_size_mean_30"))
+
+    return rolling_in_chunks(bars, ["coin"], "_bar", 300, compute, chunk_rows).drop("_bar")
