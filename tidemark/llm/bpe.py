@@ -39,7 +39,7 @@ PRE_TOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p
 #: A space or line feed after white space: cutting before it could change the pre-tokens.
 _DOUBLE = re.compile(rf"[{_WS}][ \n]")
 #: Pieces that a task remembers before it starts afresh.
-MEMO = 400_000
+MEMO = 250_000
 #: Longer pieces are not remembered.
 MEMO_CHARS = 64
 
@@ -52,12 +52,40 @@ def byte_letters() -> list[str]:
     return [other.get(b, chr(b)) for b in range(256)]
 
 
-class Bpe:
-    """A vocabulary file (``.json``: byte-level, merges by rank) made ready for encoding and decoding."""
+def read_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+class Decoder:
+    """The bytes of all tokens in one blob, and the offset table by id."""
+
+    def __init__(self, path: str) -> None:
+        spec = read_spec(path)
+        byte_of = {ord(c): chr(b) for b, c in enumerate(byte_letters())}
+        blob = {i: n.translate(byte_of).encode("latin-1") for n, i in spec["model"]["vocab"].items()}
+        blob |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or []}
+        lengths = np.zeros(max(blob) + 2, dtype=np.int64)
+        for i, b in blob.items():
+            lengths[i + 1] = len(b)
+        self.offsets = np.cumsum(lengths)
+        self.blob = np.frombuffer(b"".join(blob[i] for i in sorted(blob)), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Bytes of all ids in a row, as UTF-8; bytes that are not UTF-8 become U+FFFD."""
+        if not len(ids):
+            return ""
+        at = self.offsets[ids]
+        size = self.offsets[ids.astype(np.int64) + 1] - at
+        ends = np.cumsum(size)
+        return self.blob[np.repeat(at - (ends - size), size) + np.arange(ends[-1])].tobytes().decode("utf-8", "replace")
+
+
+class Encoder:
+    """A vocabulary file (``.json``: byte-level, merges by rank) made ready for encoding."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = read_spec(path)
         byte_of = {ord(c): chr(b) for b, c in enumerate(byte_letters())}
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         # Inside, a token is its rank: the 256 bytes first, then the merges in order.
@@ -89,14 +117,6 @@ class Bpe:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pre = regex.compile(PRE_TOKEN)
         self.memo: dict[str, bytes] = {}
-        # the offset table
-        blob = {int(i): b.encode("latin-1") for i, b in zip(self.ids, self.bytes, strict=True)} | {i: s.encode() for s, i in self.special.items()}
-        lengths = np.zeros(max(blob) + 2, dtype=np.int64)
-        for i, b in blob.items():
-            lengths[i + 1] = len(b)
-        self.offsets = np.cumsum(lengths)
-        self.blob = np.frombuffer(b"".join(blob[i] for i in sorted(blob)), dtype=np.uint8)
-
     def longest_prefix(self, token: str) -> int:
         """The longest token that is a proper prefix of ``token``; -1 if there is none."""
         return next((r for n in range(len(token) - 1, 0, -1) if (r := self.tokens.get(token[:n], -1)) >= 0), -1)
@@ -194,21 +214,21 @@ class Bpe:
             return self.plain(text)
         return b"".join(np.array([self.special[p]], dtype="<u4").tobytes() if i % 2 else self.plain(p) for i, p in enumerate(parts))
 
-    # --- decoding
-    def decode(self, ids: np.ndarray) -> str:
-        """Bytes of all ids in a row, as UTF-8; bytes that are not UTF-8 become U+FFFD."""
-        if not len(ids):
-            return ""
-        at = self.offsets[ids]
-        size = self.offsets[ids.astype(np.int64) + 1] - at
-        ends = np.cumsum(size)
-        return self.blob[np.repeat(at - (ends - size), size) + np.arange(ends[-1])].tobytes().decode("utf-8", "replace")
+    def forget(self) -> None:
+        """Let go of what was remembered: a worker may wait long, or go on with another operator."""
+        self.memo.clear()
+        self.follows.clear()
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
+@lru_cache(maxsize=1)
+def load(path: str) -> Encoder:
     """One vocabulary for each worker process."""
-    return Bpe(path)
+    return Encoder(path)
+
+
+@lru_cache(maxsize=1)
+def load_decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens") -> DataFrame:
@@ -223,6 +243,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tok
         for b in slices(batches, text):
             out = [bpe.encode(t) for t in texts_of(b, text)]
             yield with_columns(b, {ids: pa.array(out, pa.binary()), n_tokens: pa.array([len(x) // 4 for x in out], pa.int64())})
+        bpe.forget()
 
     return df.mapInArrow(run, added(df, [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType())]))
 
@@ -233,9 +254,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     df = without(df, [text])
 
     def run(batches):
-        bpe = load(path)
+        table = load_decoder(path)
         for b in slices(batches, ids):
-            out = [bpe.decode(np.frombuffer(x or b"", dtype="<u4")) for x in b.column(b.schema.get_field_index(ids)).to_pylist()]
+            out = [table.decode(np.frombuffer(x or b"", dtype="<u4")) for x in b.column(b.schema.get_field_index(ids)).to_pylist()]
             yield with_columns(b, {text: pa.array(out, pa.string())})
 
     return df.mapInArrow(run, added(df, [T.StructField(text, T.StringType())]))

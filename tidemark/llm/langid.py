@@ -14,7 +14,6 @@ of the order of rows, of partitions and of lost executors.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ UNKNOWN = "und"
 
 
 class Encoder:
-    """Letters to n-gram vectors to text vectors; holds its tables within fixed bounds."""
+    """Letters to n-gram vectors to text vectors; holds its tables within fixed bounds, for one task."""
 
     def __init__(self, dim: int, n: int) -> None:
         self.dim, self.n = dim, n
@@ -92,12 +91,6 @@ class Encoder:
         return total
 
 
-@lru_cache(maxsize=2)
-def encoder(dim: int, n: int) -> Encoder:
-    """One encoder for each worker process."""
-    return Encoder(dim, n)
-
-
 @dataclass(frozen=True)
 class Profiles:
     """Prototypes: one row of ``matrix``, of length 1, for each of ``languages`` (in ascending order)."""
@@ -127,7 +120,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     rows = learning_rows(rows, "lang", F.col("key"), per_language).select("lang", "text")
 
     def run(batches):
-        made, sums = encoder(dim, n), {}
+        made, sums = Encoder(dim, n), {}
         for b in slices(batches, "text"):
             for name, t in zip(b.column(0).to_pylist(), texts_of(b, "text"), strict=True):
                 v = made.encode(t)
@@ -155,7 +148,7 @@ def predict(df: DataFrame, model: Profiles, text: str = "text") -> DataFrame:
     df = without(df, ["lang_pred", "score"])
 
     def run(batches):
-        made = encoder(model.matrix.shape[1], model.n) if model.languages else None
+        made = Encoder(model.matrix.shape[1], model.n) if model.languages else None
         for b in slices(batches, text):
             names, scores = [], []
             for t in texts_of(b, text):
