@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Field names of the landed messages. Numbers come as text or as numbers; every one is read
@@ -172,3 +172,74 @@ def parse_order_response(raw: DataFrame) -> DataFrame:
 def parse_timestamp(c: str):
     """Non-strict timestamp parse of both layouts (' ' or 'T', 'Z' or '+00:00'); bad -> null."""
     return F.expr(f"try_cast({c} AS TIMESTAMP)")
+
+
+# Fields of a contract snapshot, of an option summary, and of the second venue's messages.
+SNAPSHOT_TIMES = ["open_time", "close_time"]
+SNAPSHOT_NUMBERS = ["last_price_dollars", "liquidity_dollars", "no_ask_dollars", "no_bid_dollars", "yes_ask_dollars", "yes_bid_dollars",
+                    "open_interest", "floor_strike", "cap_strike", "volume", "volume_24h_fp"]
+SNAPSHOT_MSG = ", ".join(f"{f} string" for f in [*SNAPSHOT_TIMES, *SNAPSHOT_NUMBERS, "strike_type"])
+OPTION_NUMBERS = ["underlying_price", "mark_iv", "bid_price", "ask_price", "mark_price", "open_interest"]
+OPTION_MSG = "instrument_name string, " + ", ".join(f"{f} string" for f in OPTION_NUMBERS) + ", greeks struct<delta: string>, stats struct<volume: string>"
+EVENT_MSG = "endDate string, markets array<struct<slug: string, conditionId: string, liquidity: string, volume: string, " \
+            "openInterest: string, outcomePrices: string, clobTokenIds: string>>"
+CLOB_BOOK_MSG = "timestamp string, bids array<string>, asks array<string>"
+
+
+def parse_snapshots(raw: DataFrame) -> DataFrame:
+    """P5: contract snapshots (``raw`` beside other columns) -> 14 named fields; absent or unreadable ones are null."""
+    others = [c for c in raw.columns if c != "raw"]
+    m = raw.select(*others, F.from_json("raw", SNAPSHOT_MSG).alias("m"))
+    return m.select(*others, *[F.col(f"m.{c}").try_cast("timestamp").alias(c) for c in SNAPSHOT_TIMES],
+                    *[F.col(f"m.{c}").try_cast("double").alias(c) for c in SNAPSHOT_NUMBERS], F.col("m.strike_type").alias("strike_type"))
+
+
+def parse_option_summaries(raw: DataFrame) -> DataFrame:
+    """Option summaries -> option rows; expiry, strike and type come from the symbol (P10, P11), delta and
+    volume from the nested greeks and stats, which may be missing."""
+    others = [c for c in raw.columns if c != "raw"]
+    m = raw.select(*others, F.from_json("raw", OPTION_MSG).alias("m")).select(*others, "m.*")
+    p = parse_option_symbol(m).drop("sym_currency", "expiry")
+    return p.select(*others, "instrument_name", F.col("expiry_date").alias("expiry_datetime"), "strike", "option_type",
+                    *[F.col(c).try_cast("double").alias(c) for c in OPTION_NUMBERS],
+                    F.col("greeks.delta").try_cast("double").alias("delta"), F.col("stats.volume").try_cast("double").alias("volume"))
+
+
+def parse_events(raw: DataFrame) -> DataFrame:
+    """Event messages -> their first market; prices and token ids are JSON arrays inside strings, yes first,
+    no second. Events without a market are dropped."""
+    others = [c for c in raw.columns if c != "raw"]
+    m = raw.select(*others, F.from_json("raw", EVENT_MSG).alias("m"))
+    m = m.select(*others, F.col("m.endDate").alias("_end"), F.get("m.markets", 0).alias("k")).where(F.col("k").isNotNull())
+    prices, tokens = F.from_json("k.outcomePrices", "array<string>"), F.from_json("k.clobTokenIds", "array<string>")
+    return m.select(*others, F.col("_end").try_cast("timestamp").alias("end_date"), F.col("k.slug").alias("market_slug"), F.col("k.conditionId").alias("condition_id"),
+                    *[F.col(f"k.{c}").try_cast("double").alias(n) for c, n in (("liquidity", "liquidity"), ("volume", "volume"), ("openInterest", "open_interest"))],
+                    F.get(prices, 0).try_cast("double").alias("yes_implied_price"), F.get(prices, 1).try_cast("double").alias("no_implied_price"),
+                    F.get(tokens, 0).alias("yes_token_id"), F.get(tokens, 1).alias("no_token_id"))
+
+
+def clob_snapshots(books: DataFrame, buys: DataFrame, sells: DataFrame, midpoints: DataFrame) -> DataFrame:
+    """The four answers for a token (``token_id``, ``raw``) side by side: first bid and ask as they came, buy
+    and sell price, and the midpoint under either of its names. One grouping by token, not three joins."""
+    def tagged(df: DataFrame, kind: str) -> DataFrame:
+        return df.select("token_id", F.lit(kind).alias("kind"), "raw")
+
+    def first(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col("raw")))
+
+    x = tagged(books, "book").unionByName(tagged(buys, "buy")).unionByName(tagged(sells, "sell")).unionByName(tagged(midpoints, "mid"))
+    x = x.groupBy("token_id").agg(first("book").alias("book"), first("buy").alias("buy"), first("sell").alias("sell"), first("mid").alias("mid"))
+    b = F.from_json("book", CLOB_BOOK_MSG)
+    mid = F.coalesce(F.nullif(F.get_json_object("mid", "$.mid"), F.lit("")), F.get_json_object("mid", "$.mid_price"))
+    return x.select("token_id", b["timestamp"].alias("timestamp"), F.get(b["bids"], 0).alias("best_bid"), F.get(b["asks"], 0).alias("best_ask"),
+                    F.get_json_object("buy", "$.price").try_cast("double").alias("buy_price"), F.get_json_object("sell", "$.price").try_cast("double").alias("sell_price"),
+                    mid.try_cast("double").alias("midpoint"))
+
+
+def second_venue_rows(events: DataFrame, snapshots: DataFrame, strikes: DataFrame, horizon_minutes: int = 15) -> DataFrame:
+    """Event rows (P13, with ``coin`` and ``interval_start_unix``) with both tokens' snapshots (P14) and the
+    interval's strike (P17); whatever is missing is null."""
+    def side(name: str) -> DataFrame:
+        return snapshots.select(F.col("token_id").alias(f"{name}_token_id"), F.col("buy_price").alias(f"{name}_buy_price"), F.col("sell_price").alias(f"{name}_sell_price"))
+    x = events.join(side("yes"), "yes_token_id", "left").join(side("no"), "no_token_id", "left").join(strikes, ["coin", "interval_start_unix"], "left")
+    return x.withColumn("time_horizon_minutes", F.lit(horizon_minutes))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger as lg
+from tidemark.operators import parse as ps
 from tidemark.operators import tradesheet as sheet
 from tidemark.operators.asof import AsofRight, asof_join
 from tidemark.operators.timeseries import market_bars
@@ -250,3 +251,92 @@ def a7_window_pnl(spark, d):
     lots = lg.fifo_lots(tv.fills(spark, d), FILL_ORDER).withColumn("window", F.expr(f"unix_micros(exit_time) div {EVENT_US}"))
     out = lg.pnl_per_window(lots, ["window"])
     return out.select(F.round("max_pnl", 6).alias("max_pnl"), F.round("min_pnl", 6).alias("min_pnl"), "windows")
+
+
+# ---------------------------------------------------------------- P5, P12-P15: snapshots, options, second venue
+def _iso(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+@register("p5_contract_snapshot", W([VIEW_SQL["quotes"]]) + """
+SELECT id, coin, open_time, close_time, last_price_dollars, liquidity_dollars, no_ask_dollars, no_bid_dollars, yes_ask_dollars,
+       CASE WHEN id % 9 <> 0 THEN yes_bid_dollars END AS yes_bid_dollars, open_interest, floor_strike, cap_strike,
+       CASE WHEN id % 4 <> 0 THEN volume END AS volume, volume_24h_fp, strike_type FROM quotes""")
+def p5_contract_snapshot(spark, d):
+    """P5: snapshots with numbers as numbers and as text, unreadable and absent fields."""
+    q = tv.quotes(spark, d)
+    fields = [_iso("open_time").alias("open_time"), _iso("close_time").alias("close_time"), "last_price_dollars", "liquidity_dollars", "no_ask_dollars", "no_bid_dollars",
+              F.col("yes_ask_dollars").cast("string").alias("yes_ask_dollars"), F.when(F.col("id") % 9 == 0, "-").otherwise(F.col("yes_bid_dollars").cast("string")).alias("yes_bid_dollars"),
+              "open_interest", "floor_strike", "cap_strike", F.when(F.col("id") % 4 != 0, F.col("volume")).alias("volume"), "volume_24h_fp", "strike_type"]
+    return ps.parse_snapshots(q.select("id", "coin", F.to_json(F.struct(*fields)).alias("raw")))
+
+
+@register("p12_option_rows", W([VIEW_SQL["options"]]) + """
+SELECT id, currency, instrument_name, try_strptime(string_split(instrument_name, '-')[2], '%d%b%y') AS expiry_datetime,
+       TRY_CAST(string_split(instrument_name, '-')[3] AS DOUBLE) AS strike, string_split(instrument_name, '-')[4] AS option_type,
+       underlying_price, mark_iv, CAST(0.5 AS DOUBLE) AS bid_price, CAST(NULL AS DOUBLE) AS ask_price, mark_price, open_interest,
+       CASE WHEN id % 9 <> 0 THEN delta END AS delta, CASE WHEN id % 5 <> 0 THEN CAST(id AS DOUBLE) END AS volume FROM options""")
+def p12_option_rows(spark, d):
+    """Option summaries with nested greeks and stats, some without them."""
+    o = tv.options(spark, d)
+    body = F.struct("instrument_name", "underlying_price", "mark_iv", F.lit("0.5").alias("bid_price"), F.lit("none").alias("ask_price"), "mark_price", "open_interest",
+                    F.when(F.col("id") % 9 != 0, F.struct("delta")).alias("greeks"), F.when(F.col("id") % 5 != 0, F.struct(F.col("id").alias("volume"))).alias("stats"))
+    return ps.parse_option_summaries(o.select("id", "currency", F.to_json(body).alias("raw")))
+
+
+def _event_rows(spark, d):
+    """Event messages: every 11th without a market, every 13th with one token only."""
+    p = tv.poly(spark, d)
+    text = lambda *cs: F.to_json(F.array(*cs))
+    yes, no = F.concat(F.lit("y"), F.col("id").cast("string")), F.concat(F.lit("n"), F.col("id").cast("string"))
+    market = F.struct(F.col("market_slug").alias("slug"), F.col("condition_id").alias("conditionId"), F.col("liquidity").cast("string").alias("liquidity"), "volume",
+                      F.col("open_interest").alias("openInterest"), text(F.col("yes_implied_price").cast("string"), F.col("no_implied_price").cast("string")).alias("outcomePrices"),
+                      F.when(F.col("id") % 13 == 0, text(yes)).otherwise(text(yes, no)).alias("clobTokenIds"))
+    markets = F.when(F.col("id") % 11 == 0, F.array().cast(f"array<{p.select(market.alias('m')).schema['m'].dataType.simpleString()}>")).otherwise(F.array(market, market))
+    return p, ps.parse_events(p.select("id", "coin", "curr_time", "interval_start_unix", F.to_json(F.struct(_iso("end_date").alias("endDate"), markets.alias("markets"))).alias("raw")))
+
+
+_EVENTS_SQL = """ev AS (
+  SELECT id, coin, curr_time, interval_start_unix, end_date, market_slug, condition_id, liquidity, volume, open_interest, yes_implied_price, no_implied_price,
+         'y' || CAST(id AS VARCHAR) AS yes_token_id, CASE WHEN id % 13 <> 0 THEN 'n' || CAST(id AS VARCHAR) END AS no_token_id FROM poly WHERE id % 11 <> 0)"""
+
+
+@register("p13_event_markets", W([VIEW_SQL["poly"], _EVENTS_SQL]) + "\nSELECT * FROM ev")
+def p13_event_markets(spark, d):
+    """First market of each event, arrays inside strings taken by position."""
+    return _event_rows(spark, d)[1]
+
+
+def _snapshots(spark, d):
+    p = tv.poly(spark, d)
+    def rows(letter, buy, sell):
+        t = p.withColumn("token_id", F.concat(F.lit(letter), F.col("id").cast("string")))
+        book = t.where("id % 3 > 0").select("token_id", F.to_json(F.struct(F.col("id").cast("string").alias("timestamp"), F.array(F.col(sell).cast("string")).alias("bids"), F.array().cast("array<string>").alias("asks"))).alias("raw"))
+        mid = t.select("token_id", F.when(F.col("id") % 2 == 0, F.to_json(F.struct(F.lit("0.25").alias("mid")))).otherwise(F.to_json(F.struct(F.lit("").alias("mid"), F.lit("0.75").alias("mid_price")))).alias("raw"))
+        return [book, *[t.select("token_id", F.to_json(F.struct(F.col(c).cast("string").alias("price"))).alias("raw")) for c in (buy, sell)], mid]
+    both = [a.unionByName(b) for a, b in zip(rows("y", "yes_buy_price", "yes_sell_price"), rows("n", "no_buy_price", "no_sell_price"), strict=True)]
+    return ps.clob_snapshots(*both)
+
+
+_SNAP_SQL = """sn AS (
+  SELECT l || CAST(id AS VARCHAR) AS token_id, CASE WHEN id % 3 > 0 THEN CAST(id AS VARCHAR) END AS timestamp, buy AS buy_price, sell AS sell_price,
+         CASE WHEN id % 2 = 0 THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.75 AS DOUBLE) END AS midpoint, CASE WHEN id % 3 > 0 THEN sell END AS best_bid_price
+  FROM (SELECT id, 'y' AS l, yes_buy_price AS buy, yes_sell_price AS sell FROM poly UNION ALL SELECT id, 'n', no_buy_price, no_sell_price FROM poly))"""
+
+
+@register("p14_clob_snapshots", W([VIEW_SQL["poly"], _SNAP_SQL]) + "\nSELECT token_id, timestamp, buy_price, sell_price, midpoint, best_bid_price, CAST(NULL AS VARCHAR) AS best_ask FROM sn")
+def p14_clob_snapshots(spark, d):
+    """Book, buy, sell and midpoint answers of every token side by side."""
+    s = _snapshots(spark, d)
+    return s.select("token_id", "timestamp", "buy_price", "sell_price", "midpoint", F.col("best_bid").try_cast("double").alias("best_bid_price"), "best_ask")
+
+
+@register("p15_second_venue_rows", W([VIEW_SQL["poly"], _EVENTS_SQL, _SNAP_SQL]) + """
+SELECT ev.*, y.buy_price AS yes_buy_price, y.sell_price AS yes_sell_price, n.buy_price AS no_buy_price, n.sell_price AS no_sell_price, s.strike_price AS strike_price, 15 AS time_horizon_minutes
+FROM ev LEFT JOIN sn y ON y.token_id = ev.yes_token_id LEFT JOIN sn n ON n.token_id = ev.no_token_id
+LEFT JOIN (SELECT coin, interval_start_unix, max(strike_price) AS strike_price FROM poly WHERE coin <> 'SOL' GROUP BY ALL) s ON s.coin = ev.coin AND s.interval_start_unix = ev.interval_start_unix""")
+def p15_second_venue_rows(spark, d):
+    """Assembled rows; one coin has no strikes."""
+    p, events = _event_rows(spark, d)
+    strikes = p.where("coin <> 'SOL'").groupBy("coin", "interval_start_unix").agg(F.max("strike_price").alias("strike_price"))
+    return ps.second_venue_rows(events, _snapshots(spark, d), strikes)
