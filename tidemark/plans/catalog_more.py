@@ -340,3 +340,23 @@ def p15_second_venue_rows(spark, d):
     p, events = _event_rows(spark, d)
     strikes = p.where("coin <> 'SOL'").groupBy("coin", "interval_start_unix").agg(F.max("strike_price").alias("strike_price"))
     return ps.second_venue_rows(events, _snapshots(spark, d), strikes)
+
+
+# ---------------------------------------------------------------- X5: batch features against live ones
+_SKEW = [("btc_spot_return_vol_30s", "live_vol_30"), ("btc_spot_return_vol_5m", "live_vol_300"),
+         ("btc_spot_signed_flow_mean_30s", "live_flow_mean_30"), ("btc_spot_size_mean_30s", "live_size_mean_30")]
+
+
+@register("x5_skew_report", f"WITH j AS MATERIALIZED (SELECT * FROM {sql_of('q4_spot_features')} a JOIN {sql_of('w12_live_spot_windows')} b USING (trade_time))\n" + "\nUNION ALL ".join(
+    f"SELECT '{b}' AS feature, count(*) AS n, CAST(count_if(abs({b} - {v}) > 1e-6) AS BIGINT) AS n_differ, round(max(abs({b} - {v})), 6) AS max_diff, round(avg(abs({b} - {v})), 6) AS mean_diff FROM j"
+    for b, v in _SKEW))
+def x5_skew_report(spark, d):
+    """How far the live engine's spot windows are from the batch features, per feature; one pass."""
+    from tidemark.operators import clean
+    from tidemark.operators.stats import live_spot_windows
+    trades = clean.clean_trades(tv.trades(spark, d), tv.COINS, with_id=False)
+    rows = live_spot_windows(feat.spot_features(trades, "BTC", UNIT_US))
+    pairs = F.array(*[F.struct(F.lit(b).alias("feature"), F.abs(F.col(b) - F.col(v)).alias("diff")) for b, v in _SKEW])
+    x = rows.select(F.explode(pairs).alias("p")).select("p.*")
+    return x.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("diff") > 1e-6).alias("n_differ"),
+                                    F.round(F.max("diff"), 6).alias("max_diff"), F.round(F.avg("diff"), 6).alias("mean_diff"))
