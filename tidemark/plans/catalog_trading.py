@@ -27,6 +27,24 @@ def FEE(p):
 ORD = ", ".join(FILL_ORDER)
 LAD = "lad AS (SELECT snapshot_id, 1 - price AS ask_price, size FROM book WHERE side = 'no')"
 
+
+
+def register_both_sides(name, sql, round_cols=()):
+    """Register ``fn(spark, d, side)`` and its SQL (written for yes) for both sides of the book, with a column
+    ``side``."""
+    other = sql.replace("side = 'no'", "side = ''").replace("side = 'yes'", "side = 'no'").replace("side = ''", "side = 'yes'")
+    both = f"SELECT 'yes' AS side, * FROM ({sql}) UNION ALL SELECT 'no' AS side, * FROM ({other})"
+
+    def deco(fn):
+        def run(spark, d):
+            yes, no = (fn(spark, d, side).select(F.lit(side).alias("side"), "*") for side in ("yes", "no"))
+            return yes.unionByName(no)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        register(name, both, round_cols)(run)
+        return fn
+    return deco
+
+
 # ---------------------------------------------------------------- B: order book
 
 
@@ -39,32 +57,32 @@ def b1_top_of_book(spark, d):
     return bk.top_of_book(tv.book(spark, d))
 
 
-@register("b2_ask_ladder", W([VIEW_SQL["book"], LAD]) + """
+@register_both_sides("b2_ask_ladder", W([VIEW_SQL["book"], LAD]) + """
 SELECT snapshot_id, ask_price, size, row_number() OVER (PARTITION BY snapshot_id ORDER BY ask_price) AS level FROM lad""")
-def b2_ask_ladder(spark, d):
+def b2_ask_ladder(spark, d, side):
     """B2: effective yes-ask ladder = complements of the no bids, ascending."""
-    return bk.ask_ladder(tv.book(spark, d), "yes")
+    return bk.ask_ladder(tv.book(spark, d), side)
 
 
-@register("b3_depth_at_price", W([VIEW_SQL["book"], LAD]) + """
+@register_both_sides("b3_depth_at_price", W([VIEW_SQL["book"], LAD]) + """
 SELECT snapshot_id, sum(CASE WHEN ask_price <= 0.6 THEN size ELSE 0 END) AS depth FROM lad GROUP BY snapshot_id""")
-def b3_depth_at_price(spark, d):
+def b3_depth_at_price(spark, d, side):
     """Contracts available at asks <= 0.60."""
-    return bk.depth_at(bk.ask_ladder(tv.book(spark, d), "yes"), 0.6)
+    return bk.depth_at(bk.ask_ladder(tv.book(spark, d), side), 0.6)
 
 
-@register("b4_vwap_ceiling", W([VIEW_SQL["book"], LAD, """c AS (
+@register_both_sides("b4_vwap_ceiling", W([VIEW_SQL["book"], LAD, """c AS (
   SELECT *, sum(size) OVER (PARTITION BY snapshot_id ORDER BY ask_price ROWS UNBOUNDED PRECEDING) AS cum FROM lad)"""]) + """
 SELECT snapshot_id,
        CASE WHEN sum(size) < 50 THEN CAST('inf' AS DOUBLE) ELSE round(sum(least(greatest(50 - (cum - size), 0), size) * ask_price) / 50, 9) END AS vwap,
        CASE WHEN sum(size) < 50 THEN CAST('inf' AS DOUBLE) ELSE min(CASE WHEN cum >= 50 THEN ask_price END) END AS ceiling_price
 FROM c GROUP BY snapshot_id""", ["vwap"])
-def b4_vwap_ceiling(spark, d):
+def b4_vwap_ceiling(spark, d, side):
     """B4 + B5: VWAP and ceiling price to buy 50 yes contracts; infinite if the book is too thin."""
-    return bk.vwap_and_ceiling(bk.ask_ladder(tv.book(spark, d), "yes"), 50.0)
+    return bk.vwap_and_ceiling(bk.ask_ladder(tv.book(spark, d), side), 50.0)
 
 
-@register("b6_sell_walk", W([VIEW_SQL["book"], """t AS (
+@register_both_sides("b6_sell_walk", W([VIEW_SQL["book"], """t AS (
   SELECT *, greatest(least(floor(size), contracts - prior), 0) AS take FROM (
     SELECT *, coalesce(sum(floor(size)) OVER (PARTITION BY snapshot_id ORDER BY price DESC
                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior
@@ -73,14 +91,14 @@ SELECT snapshot_id, max(price) AS top_bid, coalesce(min(CASE WHEN take > 0 THEN
        CAST(sum(take) AS BIGINT) AS filled,
        round(CASE WHEN sum(take) > 0 THEN sum(take * price) / sum(take) ELSE coalesce(min(CASE WHEN take > 0 THEN price END), max(price)) END, 9) AS vwap
 FROM t GROUP BY snapshot_id""", ["vwap"])
-def b6_sell_walk(spark, d):
+def b6_sell_walk(spark, d, side):
     """Sell (1 + snapshot % 40) contracts into the yes bids, whole contracts per level."""
     b = tv.book(spark, d)
     held = b.select("snapshot_id").distinct().withColumn("contracts", 1 + F.col("snapshot_id") % 40)
-    return bk.sell_walk(b, "yes", held)
+    return bk.sell_walk(b, side, held)
 
 
-@register("b7_entry_walk", W([VIEW_SQL["book"], LAD, """f AS (
+@register_both_sides("b7_entry_walk", W([VIEW_SQL["book"], LAD, """f AS (
   SELECT snapshot_id, (1 + (snapshot_id * 7919) % 99) / 100 AS fair, min(ask_price) AS best_ask, 1 + snapshot_id % 6 AS size_cap
   FROM lad GROUP BY snapshot_id)""", f"""x AS (
   SELECT lad.*, fair, best_ask, size_cap,
@@ -91,16 +109,16 @@ SELECT snapshot_id, n_valid, order_price, CAST(trunc(least(n_valid, size_cap)) A
   SELECT snapshot_id, size_cap, sum(CASE WHEN valid = 1 THEN size ELSE 0 END) AS n_valid,
          coalesce(max(CASE WHEN valid = 1 THEN ask_price END), best_ask) AS order_price
   FROM x GROUP BY snapshot_id, best_ask, size_cap)""")
-def b7_entry_walk(spark, d):
+def b7_entry_walk(spark, d, side):
     """Buy-side walk that stops at the first level whose edge no longer clears tau + fee."""
-    lad = bk.ask_ladder(tv.book(spark, d), "yes")
+    lad = bk.ask_ladder(tv.book(spark, d), side)
     fair = lad.groupBy("snapshot_id").agg(F.min("ask_price").alias("best_ask")).select(
         "snapshot_id", ((1 + (F.col("snapshot_id") * 7919) % 99) / 100).alias("fair"), "best_ask",
         (1 + F.col("snapshot_id") % 6).alias("size_cap"))
     return bk.entry_walk(lad, fair)
 
 
-@register("b8_profit_floored_sell", W([VIEW_SQL["book"], f"""b AS (
+@register_both_sides("b8_profit_floored_sell", W([VIEW_SQL["book"], f"""b AS (
   SELECT *, min(CAST(price - entry_price - {FEE('entry_price')} - {FEE('price')} >= 0.02 AS INTEGER))
               OVER (PARTITION BY snapshot_id ORDER BY price DESC ROWS UNBOUNDED PRECEDING) AS ok
   FROM (SELECT *, 1 + snapshot_id % 40 AS contracts, (1 + snapshot_id % 30) / 100 AS entry_price FROM book WHERE side = 'yes'))""",
@@ -111,12 +129,12 @@ def b7_entry_walk(spark, d):
 SELECT snapshot_id, CAST(sum(take) AS BIGINT) AS filled, round(sum(take * price), 9) AS proceeds,
        min(CASE WHEN take > 0 THEN price END) AS floor_price
 FROM t GROUP BY snapshot_id""", ["proceeds"])
-def b8_profit_floored_sell(spark, d):
+def b8_profit_floored_sell(spark, d, side):
     """Sell walk that stops at the first bid no longer clearing entry + fees + 0.02."""
     b = tv.book(spark, d)
     held = b.select("snapshot_id").distinct().select(
         "snapshot_id", (1 + F.col("snapshot_id") % 40).alias("contracts"), ((1 + F.col("snapshot_id") % 30) / 100).alias("entry_price"))
-    return bk.profit_floored_sell(b, "yes", held)
+    return bk.profit_floored_sell(b, side, held)
 
 
 # ---------------------------------------------------------------- G: signals
