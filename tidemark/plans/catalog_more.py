@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ledger as lg
 from tidemark.operators import parse as ps
 from tidemark.operators import tradesheet as sheet
+from tidemark.operators import walkforward as wf
 from tidemark.operators.asof import AsofRight, asof_join
 from tidemark.operators.timeseries import market_bars
 from tidemark.plans import catalog, catalog_market, catalog_trading, catalog_ts  # noqa: F401  (their queries are composed here)
@@ -360,3 +361,33 @@ def x5_skew_report(spark, d):
     x = rows.select(F.explode(pairs).alias("p")).select("p.*")
     return x.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("diff") > 1e-6).alias("n_differ"),
                                     F.round(F.max("diff"), 6).alias("max_diff"), F.round(F.avg("diff"), 6).alias("mean_diff"))
+
+
+# ---------------------------------------------------------------- X6, X8, X9, Q12: walk-forward models
+def _coin_bars(spark, d):
+    from tidemark.operators import clean
+    bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), tv.COINS, with_id=False), None, UNIT_US)
+    return bars.select("coin", F.col("trade_time").alias("bar_time"), F.col("btc_spot_price").alias("x"))
+
+
+@register("x6_ar1_fits", "WITH " + VIEW_SQL["trades"] + ",\n" + catalog_ts._BARS + f""",
+l AS (SELECT *, lag(x) OVER w AS x1, lag(x, {wf.MAX_LAG}) OVER w AS x7, row_number() OVER w - 1 AS i FROM b WINDOW w AS (PARTITION BY coin ORDER BY bar_time)),
+f AS (SELECT coin, bar_time, i, regr_slope(x, x1) FILTER (WHERE x7 IS NOT NULL) OVER w AS s, regr_intercept(x, x1) FILTER (WHERE x7 IS NOT NULL) OVER w AS c,
+             count(x7) OVER w AS n FROM l WINDOW w AS (PARTITION BY coin ORDER BY bar_time ROWS {wf.FIT_POINTS - 1} PRECEDING))
+SELECT coin, bar_time, i, round(s, 6) AS slope, round(c, 3) AS intercept FROM f WHERE n >= {3 * (wf.MAX_LAG + 1)}""")
+def x6_ar1_fits(spark, d):
+    """AR(1) on the trailing 480 points at every origin, against SQL regression windows."""
+    f = wf.forecasts(wf.lag_moments(_coin_bars(spark, d), "coin", "bar_time", "x"), "coin", "bar_time", [1])
+    return f.select("coin", "bar_time", "i", F.round(F.get("coefs", 0), 6).alias("slope"), F.round("intercept", 3).alias("intercept"))
+
+
+@register("x8_walk_forward", None)
+def x8_walk_forward(spark, d):
+    """Validation and holdout errors of AR and ARIMA(p, 1, 0) models per coin."""
+    return wf.scored(_coin_bars(spark, d), "coin", "bar_time", "x", range(1, wf.MAX_LAG + 1))
+
+
+@register("x9_model_selection", None)
+def x9_model_selection(spark, d):
+    """X9 (+ Q12): the models kept after validation, ranked by holdout error."""
+    return wf.selected(x8_walk_forward(spark, d), "coin")
