@@ -11,6 +11,7 @@ from tidemark.ml import models as md
 from tidemark.operators import ledger as lg
 from tidemark.operators import parse as ps
 from tidemark.operators import tradesheet as sheet
+from tidemark.operators import walkforward as wf
 from tidemark.operators.ordering import dense_index
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.streaming import jobs
@@ -178,3 +179,27 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_dense_index_counts_from_zero(spark):
     df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "x long")
     assert {r.x: r.i for r in dense_index(df, ["x"], name="i").collect()} == {i: i for i in range(101)}
+
+
+def test_forecasts_use_the_past_alone_and_recover_an_ar2(spark):
+    rng = np.random.default_rng(9)
+    x = [0.0, 0.0]
+    for _ in range(900):
+        x.append(5 + 0.6 * x[-1] - 0.3 * x[-2] + rng.normal())
+    rows = [("a", i, float(v)) for i, v in enumerate(x)]
+
+    def run(data, **kw):
+        m = wf.lag_moments(spark.createDataFrame(data, "k string, t long, x double"), "k", "t", "x", refit_every=(1, 10), **kw)
+        return {(r.t, r.p): r for r in wf.forecasts(m, "k", "t", [1, 2], 1).collect()}, {(r.t, r.p): r for r in wf.forecasts(m, "k", "t", [2], 10).collect()}
+
+    each, tenth = run(rows)
+    last = each[901, 2]
+    assert abs(last.coefs[0] - 0.6) < 0.12 and abs(last.coefs[1] + 0.3) < 0.12 and abs(last.intercept - 5) < 1
+    X = np.array([[1, x[t - 1], x[t - 2]] for t in range(901 - wf.FIT_POINTS + 1, 902)])
+    want = np.linalg.lstsq(X, np.array(x[901 - wf.FIT_POINTS + 1:902]), rcond=None)[0]
+    assert np.allclose([last.intercept, *last.coefs], want, atol=1e-6)
+    assert tenth[567, 2].coefs == tenth[560, 2].coefs == each[560, 2].coefs
+    chunked, _ = run(rows, chunk_rows=600)
+    assert all(abs(chunked[k].predicted - each[k].predicted) < 1e-6 for k in each) and chunked.keys() == each.keys()
+    changed, _ = run(rows[:700] + [("a", i, v + 100) for _, i, v in rows[700:]])
+    assert all(abs(changed[k].predicted - each[k].predicted) < 1e-5 for k in each if k[0] < 700)
