@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding (1): adds ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens`` and
     ``round_trip``, whether the decoded text is the text (null: empty)."""
-    done = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY, text="__td_decoded")
+    done = bpe.encode_decode(docs, VOCABULARY, decoded="__td_decoded")
     return done.withColumn("round_trip", F.col("__td_decoded") == F.coalesce("text", F.lit(""))).drop("__td_decoded")
 
 

@@ -63,6 +63,8 @@ def test_round_trip_of_corner_documents(corner_docs, no_docs, library, vocabular
     assert bpe.round_trip(no_docs, vocabulary).count() == 0
     wide = bpe.encode(corner_docs, vocabulary)
     assert sorted(wide.columns) == sorted(corner_docs.columns) and dict(wide.dtypes)["ids"] == "binary"
+    back = bpe.decode(wide.select("doc_id", "text", "ids"), vocabulary)
+    assert all(r.decoded == (r.text or "") for r in back.collect())
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"])

@@ -262,8 +262,24 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     return df.mapInArrow(run, added(df, [T.StructField(text, T.StringType())]))
 
 
+def encode_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tokens: str = "n_tokens", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass of one worker per task: adds ``ids``, ``n_tokens`` and the text that
+    the ids decode to. Rows and columns as with these."""
+    df = without(df, [ids, n_tokens, decoded])
+
+    def run(batches):
+        bpe, table = load(path), load_decoder(path)
+        for b in slices(batches, text):
+            out = [bpe.encode(t) for t in texts_of(b, text)]
+            back = [table.decode(np.frombuffer(x, dtype="<u4")) for x in out]
+            yield with_columns(b, {ids: pa.array(out, pa.binary()), n_tokens: pa.array([len(x) // 4 for x in out], pa.int64()), decoded: pa.array(back, pa.string())})
+        bpe.forget()
+
+    return df.mapInArrow(run, added(df, [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType()), T.StructField(decoded, T.StringType())]))
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: digests of its ids and of the text decoded from them."""
-    done = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    done = encode_decode(docs.select("doc_id", "text"), path)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
