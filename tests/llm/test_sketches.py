@@ -240,6 +240,39 @@ def test_every_document_has_one_place(spark, corner_docs, no_docs):
     assert mixed.columns == corner_docs.columns and mixed.count() == corner_docs.count() and {r.slot for r in mixed.collect()} <= {"extra", "x"}
 
 
+def test_weights_are_exact_over_many_sources_and_spans():
+    rng = random.Random(3)
+    many = {f"s{i:04}": 1 + rng.randrange(40) for i in range(1100)} | {"hot": 90_000}
+    twenty = {f"s{i}": 100_000 ** 0.5 for i in range(20)} | {"big": 1000.0}
+    for weights, slots in ((many, 30_000), (twenty, 200_000)):
+        quota = mixing.whole_weights(weights)
+        period = sum(quota.values())
+        given = Counter()
+        for lo in range(0, slots, 7_000):  # spans on their own continue each other
+            assert mixing.state(quota, lo) == {s: given[s] for s in quota}
+            for slot, s, k in mixing.span(quota, lo, min(lo + 7_000, slots)):
+                assert k == given[s] and mixing.release(k, quota[s], period) <= slot < mixing.deadline(k, quota[s], period)
+                given[s] += 1
+        assert all(abs(given[s] * period - slots * q) < period for s, q in quota.items())
+    stock = {s: 1 + 4 * i for i, s in enumerate(twenty)} | {"big": 20_000}
+    plan = mixing.phases(stock, twenty)
+    assert Counter({s: sum(p.blocks.get(s, 0) for p in plan) for s in stock}) == Counter(stock)
+    first = plan[0]
+    assert all(abs(first.blocks[s] - first.slots * twenty[s] / sum(twenty.values())) < 1 for s in twenty)
+
+
+def test_scheduled_rows_keep_to_the_weights_given(spark):
+    n, weights = 1050, {"hot": 700.0} | {f"s{i}": 1.0 for i in range(1049)}
+    docs = spark.range(14_000 + 9 * (n - 1)).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 14_000, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % (n - 1))).alias("source"))
+    got = mixing.scheduled(docs, weights=weights, block=1).orderBy("slot").toPandas()
+    assert got.slot.tolist() == list(range(len(got)))
+    early = got[:15_000]  # no source runs out in these slots
+    for at in range(0, 15_000, 500):
+        counts = early.source[:at].value_counts()
+        assert all(abs(counts.get(s, 0) - at * w / sum(weights.values())) < 1 for s, w in weights.items())
+    assert ((early.release <= early.slot) & (early.slot < early.deadline)).all()
+
+
 # --- pipeline
 def test_pipeline_against_brute_force(spark, vocabulary):
     got = corpus_pipeline.run(spark, SF).toPandas()

@@ -2,26 +2,28 @@
 
 The documents of a source, in a pseudo-random order, form blocks of equal size. Time is counted in slots of
 one block. With weight w, block i (from 0) of a source is released at floor(i / w) and due at
-ceil((i + 1) / w); in every slot the released block with the earliest deadline goes next. Weights are
-rounded to whole blocks per period of ``PERIOD`` slots, so deadlines can always be met, every source is
-always less than one block from its target, and the schedule repeats each period.
+ceil((i + 1) / w); in every slot the released block with the earliest deadline goes next, ties by name. Weights
+are exact ratios of integers, so every source is always less than one block from its target.
 
 A source that runs out ends a phase; the others go on with their weights scaled up, counted from there.
 No document is dropped or repeated.
 
-Only one period per phase is ever scheduled one by one, on the driver, from the table of sources (a row
-each); Spark gives every block its slot by a join with the sources' phases. Numbering the documents of a source is by hash buckets of
-bounded size with bucket offsets, so the hottest source is spread over as many tasks as any.
+What that rule has given by slot T follows from the weights and T alone (``state``): all blocks due by then, and
+of those that are only released, in order of deadlines, each that still fits between its release and T. So the
+driver only finds where phases end, from the table of sources, and tasks schedule spans of slots on their own.
+Numbering the documents of a source is by hash buckets of bounded size with bucket offsets, so the hottest
+source is spread over as many tasks as any.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -29,16 +31,23 @@ from pyspark.sql import Window as W
 from tidemark.llm.common import sheltered, without
 
 BLOCK = 64
-PERIOD = 1000
+#: Slots that a task schedules at a time: at least and, for very small weights, at most.
+SPAN, LONG_SPAN = 1 << 12, 1 << 17
 #: Documents of all sources together that share a hash bucket, about.
 BUCKET_ROWS = 2_000
 SEED = 9
-#: The schedule (sources x phases, with the slots of a period for each phase) goes to all tasks as a
-#: broadcast up to this many slots, 8 bytes each; a larger one is joined by source.
-BROADCAST_SLOTS = 1 << 20
 
 
 # --- the schedule, from the table of sources
+def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
+    """Integers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[w.denominator for w in exact.values()])
+    out = {s: int(w * scale) for s, w in exact.items()}
+    common = math.gcd(*out.values())
+    return {s: w // common for s, w in out.items()}
+
+
 def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
     """Blocks per period, in proportion to the weights: at least one each, ``period`` in all (or one each,
     where there are more sources); the largest remainders are rounded up, ties by name."""
@@ -63,22 +72,52 @@ def deadline(k: int, quota: int, period: int) -> int:
     return -(-(k + 1) * period // quota)
 
 
-def pattern(quota: Mapping[str, int]) -> list[str]:
-    """The source of each slot of one period: earliest deadline first among released blocks, ties by name."""
+def state(quota: Mapping[str, int], slot: int) -> dict[str, int]:
+    """The blocks that each source has had before ``slot``. Blocks that are due are in; they and the released
+    ones, earliest deadline first, each take the first free slot from their release on, if there is one."""
+    period = sum(quota.values())
+    out = {s: q * slot // period for s, q in quota.items()}
+    more = slot - sum(out.values())
+    if more == 0:
+        return out
+    begun = {s: release(out[s], q, period) for s, q in quota.items() if q * slot % period}
+    start = min(begun.values())
+    free = list(range(slot - start + 1))  # the first free slot from each on, by path halving
+
+    def take(at: int) -> bool:
+        at -= start
+        while free[at] != at:
+            free[at] = free[free[at]]
+            at = free[at]
+        if at == slot - start:
+            return False
+        free[at] = at + 1
+        return True
+
+    for s, q in quota.items():
+        for k in range(-(-q * start // period), out[s]):
+            take(release(k, q, period))
+    for _, s in sorted((deadline(out[s], quota[s], period), s) for s in begun):
+        if more and take(begun[s]):
+            out[s] += 1
+            more -= 1
+    return out
+
+
+def span(quota: Mapping[str, int], lo: int, hi: int) -> Iterator[tuple[int, str, int]]:
+    """``slot``, source and block of the slots from ``lo`` to before ``hi``: earliest deadline first among
+    released blocks, ties by name."""
     period = sum(quota.values())
-    waiting = [(0, s, 0) for s in sorted(quota)]
+    waiting = [(release(k, quota[s], period), s, k) for s, k in state(quota, lo).items()]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out = []
-    for slot in range(period):
+    for slot in range(lo, hi):
         while waiting and waiting[0][0] <= slot:
             _, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline(k, quota[s], period), s, k))
         _, s, k = heapq.heappop(ready)
-        out.append(s)
-        if k + 1 < quota[s]:
-            heapq.heappush(waiting, (release(k + 1, quota[s], period), s, k + 1))
-    return out
+        yield slot, s, k
+        heapq.heappush(waiting, (release(k + 1, quota[s], period), s, k + 1))
 
 
 @dataclass(frozen=True)
@@ -87,33 +126,44 @@ class Phase:
 
     base: int
     quota: dict[str, int]
-    order: list[str]
     first: dict[str, int]
     blocks: dict[str, int]
 
+    @property
+    def slots(self) -> int:
+        return sum(self.blocks.values())
+
+    @property
+    def order(self) -> list[str]:
+        """The source of each slot until the schedule repeats."""
+        return [s for _, s, _ in span(self.quota, 0, sum(self.quota.values()))]
+
+    @property
+    def step(self) -> int:
+        """Slots to schedule at a time: about as many as finding the state before them takes."""
+        return max(SPAN, len(self.quota), min(LONG_SPAN, sum(self.quota.values()) // min(self.quota.values())))
+
 
-def phases(stock: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD) -> list[Phase]:
-    """Phases until all blocks are scheduled; each ends when a source runs out. Sources without a positive
-    weight come when all others have run out, with equal weights."""
+def phases(stock: Mapping[str, int], weights: Mapping[str, float], period: int | None = None) -> list[Phase]:
+    """Phases until all blocks are scheduled; each ends when a source has run out. Sources without a positive
+    weight come when all others have run out, with equal weights. ``period``: weights are first rounded to
+    whole blocks in so many slots."""
     used, left, base, out = dict.fromkeys(stock, 0), {s: n for s, n in stock.items() if n}, 0, []
     while left:
-        heavy = {s: float(weights[s]) for s in left if weights.get(s, 0) > 0} or dict.fromkeys(left, 1.0)
-        quota = quotas(heavy, period)
-        order = pattern(quota)
-        whole = min(left[s] // quota[s] for s in quota)
-        given = {s: whole * quota[s] for s in quota}
-        slots = whole * len(order)
-        for s in order:  # the last, broken period: up to the slot whose source has nothing left
-            if given[s] == left[s]:
-                break
-            given[s] += 1
-            slots += 1
-        out.append(Phase(base, quota, order, {s: used[s] for s in quota}, given))
+        heavy = {s: weights[s] for s in left if weights.get(s, 0) > 0} or dict.fromkeys(left, 1)
+        quota = whole_weights(heavy) if period is None else quotas(heavy, period)
+        total = sum(quota.values())
+        # the last slot by which no target is beyond its source; the block that is due next then ends it
+        slots = min(left[s] * total // q for s, q in quota.items())
+        given = state(quota, slots)
+        if all(given[s] < left[s] for s in quota):
+            given[min(quota, key=lambda s: (deadline(given[s], quota[s], total), s))] += 1
+        out.append(Phase(base, quota, {s: used[s] for s in quota}, given))
         for s, n in given.items():
             used[s] += n
             left[s] -= n
         left = {s: n for s, n in left.items() if n}
-        base += slots
+        base += out[-1].slots
     return out
 
 
@@ -124,12 +174,12 @@ def key(source: str) -> Column:
 
 
 def scheduled(docs: DataFrame, source: str = "source", weights: Mapping[str | None, float] | None = None,
-              block: int = BLOCK, period: int = PERIOD) -> DataFrame:
+              block: int = BLOCK, period: int | None = None) -> DataFrame:
     """Add ``block`` (number within the source, from 0), ``release``, ``deadline``, ``slot`` (long) and
     ``place`` (within the block) to each row.
 
     ``weights`` names target weights by source (null is a source); without it a source weighs the square
-    root of its documents. Rows that repeat an id are rows of their own. Every row gets a place; columns named like
+    root of its documents. ``period`` rounds the weights to whole blocks in so many slots. Rows that repeat an id are rows of their own. Every row gets a place; columns named like
     the new ones are replaced; an empty table gives an empty result."""
     spark = docs.sparkSession
     docs = without(docs, ["block", "release", "deadline", "slot", "place"])
@@ -137,18 +187,24 @@ def scheduled(docs: DataFrame, source: str = "source", weights: Mapping[str | No
     sizes = {r["__s"]: r["n"] for r in keyed.groupBy("__s").agg(F.count("*").alias("n")).collect()}  # a row per source
     stock = {s: -(-n // block) for s, n in sizes.items()}
     given = {s: math.sqrt(n) for s, n in sizes.items()} if weights is None else {"null" if s is None else f"={s}": w for s, w in weights.items()}
+    # spans of slots, dealt out to tasks that schedule them
     plan = phases(stock, given, period)
-    spans = []
-    for p in plan:
-        at: dict[str, list[int]] = {}
-        for slot, s in enumerate(p.order):
-            at.setdefault(s, []).append(slot)
-        spans += [(s, p.base, len(p.order), p.first[s], p.blocks[s], at[s]) for s in p.quota if p.blocks[s]]
-    # one row per source and phase, with the slots of its blocks in a period
-    spans = spark.createDataFrame(pd.DataFrame(spans, columns=["s", "base", "p", "lo", "n", "at"]) if spans else [],
-                                  "s string, base long, p long, lo long, n long, at array<long>").select(F.struct("*").alias("__span"))
-    if sum(len(p.order) for p in plan) <= BROADCAST_SLOTS:
-        spans = F.broadcast(spans)
+    shared = spark.sparkContext.broadcast([(p.base, p.slots, p.quota, p.first, p.step) for p in plan])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n, lo in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                base, slots, quota, first, step = shared.value[n]
+                total = sum(quota.values())
+                rows = [(s, first[s] + k, base + release(k, quota[s], total), base + deadline(k, quota[s], total), base + slot)
+                        for slot, s, k in span(quota, lo, min(lo + step, slots))]
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*rows, strict=True), [pa.string(), *[pa.int64()] * 4], strict=True)],
+                                                 names=["__s3", "__block", "release", "deadline", "slot"])
+
+    spans = spark.createDataFrame([(n, p.slots, p.step) for n, p in enumerate(plan)], "n long, slots long, step long")
+    spans = spans.select("n", F.explode(F.expr("sequence(0L, slots - 1, step)")).alias("lo"))
+    spans = spans.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "n", "lo")
+    turns = spans.mapInArrow(run, "__s3 string, __block long, release long, deadline long, slot long")
 
     # numbers within the source: rows of the buckets before, then the place within the bucket
     n_buckets = max(1, -(-sum(sizes.values()) // BUCKET_ROWS))
@@ -160,14 +216,7 @@ def scheduled(docs: DataFrame, source: str = "source", weights: Mapping[str | No
                 .join(before, (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2")))
                 .withColumn("__i", F.coalesce("__before", F.lit(0)) + F.col("__r")))
     numbered = numbered.withColumn("block", F.expr(f"__i div {block}")).withColumn("place", F.col("__i") % block)
-    span, turn = F.col("__span"), F.col("block") - F.col("__span.lo")
-    numbered = numbered.join(spans, (F.col("__s") == span["s"]) & (turn >= 0) & (turn < span["n"]))
-    q = F.size(span["at"]).cast("long")
-    numbered = (numbered.withColumn("__k", turn % q).withColumn("__q", q).withColumn("__p", span["p"])
-                .withColumn("__start", span["base"] + F.floor((turn - turn % q) / q).cast("long") * span["p"])
-                .withColumn("release", F.col("__start") + F.expr("__k * __p div __q"))
-                .withColumn("deadline", F.col("__start") + F.expr("((__k + 1) * __p + __q - 1) div __q"))
-                .withColumn("slot", F.col("__start") + F.get(span["at"], F.col("__k").cast("int"))))
+    numbered = numbered.join(turns, (F.col("__s") == F.col("__s3")) & (F.col("block") == F.col("__block")))
     return numbered.select(*[F.col(f"`{c}`") for c in docs.columns], "block", "release", "deadline", "slot", "place")
 
 
