@@ -1,7 +1,7 @@
 """Corpus pipeline over ``documents``: the stages run in order, each written as Parquet and read again.
 
 Every stage works on all rows that its predecessor kept and returns the columns of documents; the last adds
-the encoding. Language ID drops documents without a language, quality rules drop short and repetitive ones,
+the encoding and each document's position. Language ID drops documents without a language, quality rules drop short and repetitive ones,
 the n-gram join keeps one document of each group of near duplicates, mixing puts the rest in the order of
 target weights, and BPE encodes them."""
 
@@ -39,9 +39,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE encoding and decoding (1): adds ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens`` and
-    ``round_trip``, whether the decoded text is the text (null: empty)."""
-    done = bpe.encode_decode(docs, VOCABULARY, decoded="__td_decoded")
+    """BPE encoding and decoding (1): adds ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens``,
+    ``round_trip``, whether the decoded text is the text (null: empty), and ``position``, which sorts the corpus
+    as it was mixed."""
+    done = bpe.encode_decode(mixing.position(docs), VOCABULARY, decoded="__td_decoded")
     return done.withColumn("round_trip", F.col("__td_decoded") == F.coalesce("text", F.lit(""))).drop("__td_decoded")
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,7 +274,43 @@ def test_scheduled_rows_keep_to_the_weights_given(spark):
     assert ((early.release <= early.slot) & (early.slot < early.deadline)).all()
 
 
+def in_schedule(sources):
+    """The sources of rows in the order of the schedule, from the rows' sources."""
+    left = Counter(sources)
+    plan = mixing.phases({s: -(-n // mixing.BLOCK) for s, n in left.items()}, {s: n ** 0.5 for s, n in left.items()})
+    out = []
+    for p in plan:
+        for _, s, _ in mixing.span(p.quota, 0, p.slots):
+            n = min(left[s], mixing.BLOCK)
+            left[s] -= n
+            out += [s] * n
+    return out
+
+
 # --- pipeline
+def test_leading_parts_of_the_corpus_hold_the_target_weights(spark, tmp_path):
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"),
+                                      F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 10)).alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mix_sources"](spark, rows, SF).write.parquet(str(tmp_path / "mixed"))
+    parts = [pq.read_table(p).column("source").to_pylist() for p in sorted((tmp_path / "mixed").glob("part-*"))]
+    stages["bpe"](spark, spark.read.parquet(str(tmp_path / "mixed")), SF).write.parquet(str(tmp_path / "done"))
+    done = spark.read.parquet(str(tmp_path / "done")).orderBy("position").toPandas()
+    want = in_schedule([s for p in parts for s in p])
+    assert sum(map(bool, parts)) > 1 and [s for p in parts for s in p] == want == done.source.tolist()
+    assert done.position.is_unique
+    weights = {"hot": 24_000 ** 0.5, "s8": 3_000 ** 0.5, "s9": 3_000 ** 0.5}
+    for at in range(0, 9_000, 64):
+        counts = Counter(want[:at])
+        assert all(abs(counts[s] - at * w / sum(weights.values())) < mixing.BLOCK for s, w in weights.items())
+
+
+def test_positions_of_the_whole_run(spark):
+    got = corpus_pipeline.run(spark, SF).orderBy("position").toPandas()
+    keys = [f"={s}" if s is not None else "null" for s in got.source]
+    assert got.position.is_unique and keys == in_schedule(keys)
+
+
 def test_pipeline_against_brute_force(spark, vocabulary):
     got = corpus_pipeline.run(spark, SF).toPandas()
     docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()

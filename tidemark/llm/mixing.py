@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -221,11 +222,21 @@ def scheduled(docs: DataFrame, source: str = "source", weights: Mapping[str | No
 
 
 def mixed(docs: DataFrame, source: str = "source") -> DataFrame:
-    """The rows and columns of ``docs`` in the order of the schedule: every partition holds runs of
-    consecutive slots, in order."""
+    """The rows and columns of ``docs`` in the order of the schedule: partitions hold ranges of slots, one after
+    the other, and rows are sorted in each. Written, part after part has that order; see ``position``."""
     docs, restored = sheltered(docs, ["block", "release", "deadline", "slot", "place"])
     placed = scheduled(docs, source)
-    runs = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per = 16  # slots in a run
-    dealt = placed.withColumn("__run", F.expr(f"slot div {per}")).repartition(runs, "__run")
-    return restored(dealt.sortWithinPartitions("slot", "place"))
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return restored(placed.repartitionByRange(ranges, "slot", "place").sortWithinPartitions("slot", "place"))
+
+
+def position(docs: DataFrame, name: str = "position") -> DataFrame:
+    """Add a long that sorts the rows as they were written: by number of the part file, then row. A reader packs
+    files into tasks by size, so its own order says nothing. Rows not read from Parquet files: by partition."""
+    docs = without(docs, [name])
+    file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    part, piece = (F.coalesce(F.regexp_extract(file, x, 1).try_cast("long"), F.lit(0)) for x in (r"^part-(\d+)", r"-c(\d+)\."))
+    try:
+        return docs.select("*", (part * (1 << 43) + piece * (1 << 33) + row).alias(name))
+    except AnalysisException:  # no such files
+        return docs.select("*", F.monotonically_increasing_id().alias(name))
