@@ -178,6 +178,17 @@ def test_two_texts_of_one_id_join_their_components(spark):
     assert sorted(r.doc_id for r in ngramjoin.keep_one(docs).collect()) == [1, 2]
 
 
+def test_rows_without_an_id_are_near_duplicates_too(spark):
+    named, alone, other = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    near = [*alone[:59], "changed"]
+    rows = [(7, " ".join(named), "a"), (None, " ".join(named), "b"), (None, " ".join([*named[:59], "changed"]), "c"), (None, " ".join(alone), "d"),
+            (None, " ".join(alone), "e"), (None, " ".join(near), "f"), (None, " ".join(other), "g"), (None, "", "h"), (None, None, "i")]
+    got = ngramjoin.keep_one(spark.createDataFrame(rows, "doc_id long, text string, tag string")).collect()
+    tags = {r.tag for r in got}
+    assert len(got) == 5 and {"a", "g", "h", "i"} < tags and len(tags & {"d", "e", "f"}) == 1
+    assert all(r.text == {x: y for _, y, x in rows}[r.tag] for r in got)
+
+
 def test_filters_never_refuse_a_link():
     import numpy as np
     rng = np.random.default_rng(4)

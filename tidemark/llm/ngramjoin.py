@@ -32,9 +32,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tidemark.llm.common import slices, texts_of, written
+from tidemark.llm.common import added, slices, texts_of, with_columns, written
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -261,15 +262,10 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id among the
-    documents that links lead to.
-
-    Null or empty texts and texts without words have no shingles and link with nothing; their component is
-    their own id. Rows that repeat an id are one document: whatever any of them links with, it links with.
-    Null ids are never the smallest; they get the smallest id that their text leads to, or null. Other
-    columns are ignored; an empty table gives an empty result."""
-    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of ``doc_id`` (long) and ``text``: a row per document with its ``digest``; per class ``digest``, ``rep``,
+    ``cid``, ``comp`` and ``least``, the smallest id in the component; and the shared shingles (``token``,
+    ``cid``, ``n``, ``pos``)."""
     first = written(first_pass(docs), "shingle-sets")
     members = first.where("chunk is null").select("doc_id", "digest", "n")
     classes = members.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -319,18 +315,55 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     found = components(known.unionByName(verified(docs, classes, more)))
 
     # the smallest document of each component, back to the rows
-    placed = classes.join(found, F.col("cid") == F.col("node"), "left").select("digest", "rep", F.coalesce("component", "cid").alias("comp"))
+    placed = classes.join(found, F.col("cid") == F.col("node"), "left").select("digest", "rep", "cid", F.coalesce("component", "cid").alias("comp"))
     least = placed.groupBy(F.col("comp").alias("__comp")).agg(F.min("rep").alias("least"))
-    answer = placed.join(least, F.col("comp") == F.col("__comp")).select(F.col("digest").alias("__digest"), "least")
+    return members, written(placed.join(least, F.col("comp") == F.col("__comp")).drop("__comp"), "placed-classes"), shared
+
+
+def answered(members: DataFrame, placed: DataFrame) -> DataFrame:
+    """The rows of ``members`` with ``cid`` and ``component_id``."""
+    answer = placed.select(F.col("digest").alias("__digest"), "least", "cid")
     return members.join(answer, F.col("digest") == F.col("__digest"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), "cid", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id among the
+    documents that links lead to.
+
+    Null or empty texts and texts without words have no shingles and link with nothing; their component is
+    their own id. Rows that repeat an id are one document: whatever any of them links with, it links with.
+    Null ids are never the smallest; they get the smallest id that their text leads to, or null. Other
+    columns are ignored; an empty table gives an empty result."""
+    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    members, placed, _ = grouped(docs)
+    return answered(members, placed).drop("cid")
+
+
+def digested(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__digest``, null for texts without words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            sets = [shingles(t) for t in texts_of(b, "text")]
+            yield with_columns(b, {"__digest": pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary())})
+
+    return docs.mapInArrow(run, added(docs, [T.StructField("__digest", T.BinaryType())]))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay when of every component only its smallest document does; of rows that
-    repeat this id one stays. Rows with a null id cannot be told apart by it and all stay."""
-    kept = written(similar(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept-documents")
+    repeat this id one stays. A row with a null id goes where its component has a document with an id; of
+    components with null ids only one row stays, the smallest by the digest of its set and the hash of its
+    text. Rows with a null id and no words link with nothing and stay."""
+    members, placed, _ = grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    kept = written(answered(members, placed).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept-documents")
     order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     named = docs.join(kept, F.col("doc_id") == F.col("__id"))
-    one = named.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return one.unionByName(docs.where("doc_id is null"))
+    one = named.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*columns)
+    # rows without an id: the winner of a component is found with map-side minima
+    unnamed = digested(docs.where("doc_id is null"))
+    alone = placed.where("least is null").select(F.col("digest").alias("__d"), F.col("comp").alias("__comp"))
+    winners = (unnamed.select(F.struct(*columns).alias("__doc"), "__digest", F.xxhash64("text").alias("__h")).join(alone, F.col("__digest") == F.col("__d"))
+               .groupBy("__comp").agg(F.min_by("__doc", F.struct("__digest", "__h")).alias("__doc")).select("__doc.*"))
+    return one.unionByName(winners).unionByName(unnamed.where("__digest is null").select(*columns))
