@@ -171,6 +171,19 @@ def test_components_against_brute_force(spark, corner_docs, no_docs):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([*range(len(TEXTS)), None, None])
 
 
+def test_every_link_inside_a_component_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "BLOCK_SETS", 7)  # several blocks in the large component
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    chain = [f"c{i}" for i in range(200)]
+    texts = [" ".join(edited(rng, words, .01)) for _ in range(40)] + [" ".join(chain[k * 8:k * 8 + 120]) for k in range(10)]
+    texts += [texts[0], texts[0], "on its own here", "", None]
+    got = {r.doc_id: r.n_links for r in ngramjoin.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [set(ngramjoin.shingles(t or "").tolist()) for t in texts]
+    want = {i: sum(1 for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 75 * len(a | b)) for i, a in enumerate(sets)}
+    assert got == want and 0 < want[44] < 9 and want[0] > 2
+
+
 def test_two_texts_of_one_id_join_their_components(spark):
     a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
     docs = spark.createDataFrame([(5, a), (5, b), (1, b), (9, a), (2, c)], "doc_id long, text string")

@@ -17,6 +17,9 @@ the smallest document that links lead to.
    group against group, so members of one component never meet. Linked sets that are still apart share a
    prefix shingle, so no link between components is missed; pairs verified before are not verified again.
 6. Components of the verified links, and the smallest document of each.
+7. The number of links of each class: links lie inside components, so the sets of a component are dealt into
+   blocks of bounded size, and every pair of blocks is a group of its own in which all overlaps are counted.
+   No pair is written; copies count by the size of their class.
 
 Sets are fetched for the classes of candidate pairs only: a Bloom filter of fixed size with their documents
 picks rows before shingling. Fixed sizes: the sketch and the filter, which the driver sums up and sends to
@@ -44,6 +47,8 @@ SKETCH_BITS = 20
 CHUNKS = 64
 #: Bits of the Bloom filter, a power of two (8 MB).
 BLOOM_BITS = 26
+#: Sets and bytes of sets in a block, about, when the links of a component are counted.
+BLOCK_SETS, BLOCK_BYTES = 256, 16 << 20
 #: Odd multipliers that set apart the places of a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -249,6 +254,52 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+# --- numbers of links
+def link_counts(one: list[np.ndarray], two: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """For each set of ``one`` the ``rows`` of those sets of ``two`` that link with it, added up."""
+    values, owner = np.concatenate(two), np.repeat(np.arange(len(two)), [len(s) for s in two])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    sizes, out = np.array([len(s) for s in two]), np.zeros(len(one), dtype=np.int64)
+    for i, s in enumerate(one):
+        lo, hi = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(two))
+        out[i] = rows[100 * both >= 75 * (len(s) + sizes - both)].sum()
+    return out
+
+
+def links_of(docs: DataFrame, members: DataFrame, placed: DataFrame) -> DataFrame:
+    """``cid``, ``n_links``: for each class, how many other rows have a text that links with its."""
+    rows = members.where("digest is not null").groupBy(F.col("digest").alias("__d")).agg(F.count("*").alias("rows"), F.min("n").alias("n"))
+    classes = written(placed.join(rows, F.col("digest") == F.col("__d")).drop("__d"), "class-rows")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, 8 * F.sum("n") / BLOCK_BYTES)).cast("long")
+    comps = classes.groupBy(F.col("comp").alias("__comp")).agg(F.count("*").alias("k"), blocks.alias("blocks")).where("k > 1")
+    several = written(classes.join(comps, F.col("comp") == F.col("__comp"))
+                      .select("digest", "rep", "cid", "comp", "rows", "blocks", F.pmod(F.xxhash64("cid"), "blocks").alias("block")), "classes-to-link")
+    sets = sets_of(docs, several.select("rep").distinct()).dropDuplicates(["digest"])
+    dealt = (several.join(sets, "digest").withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+             .select("cid", "comp", "rows", "block", "members", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+
+    def run(group: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("members").to_pylist()]
+        cids, rows, block = (group.column(c).to_numpy() for c in ("cid", "rows", "block"))
+        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        out = np.zeros(len(sets), dtype=np.int64)
+        if len(x) and len(y):
+            out[x] = link_counts([sets[i] for i in x], [sets[i] for i in y], rows[y])
+            if lo == hi:
+                out -= rows  # every set links with itself
+            else:
+                out[y] = link_counts([sets[i] for i in y], [sets[i] for i in x], rows[x])
+        return pa.table({"cid": cids, "n": out})
+
+    found = dealt.groupBy("comp", "lo", "hi").applyInArrow(run, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("__n"))
+    return classes.select("cid", "rows").join(found, "cid", "left").select(F.col("cid").alias("__cid"), (F.col("rows") - 1 + F.coalesce("__n", F.lit(0))).alias("n_links"))
+
+
 # --- candidates
 def may_link(n: str, i: str, m: str, j: str) -> Column:
     """Length and positional filters for sets of n and m whose common shingle is at places i and j: the
@@ -262,10 +313,9 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of ``doc_id`` (long) and ``text``: a row per document with its ``digest``; per class ``digest``, ``rep``,
-    ``cid``, ``comp`` and ``least``, the smallest id in the component; and the shared shingles (``token``,
-    ``cid``, ``n``, ``pos``)."""
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``doc_id`` (long) and ``text``: a row per document with its ``digest``; and per class ``digest``,
+    ``rep``, ``cid``, ``comp`` and ``least``, the smallest id in the component."""
     first = written(first_pass(docs), "shingle-sets")
     members = first.where("chunk is null").select("doc_id", "digest", "n")
     classes = members.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
@@ -317,7 +367,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # the smallest document of each component, back to the rows
     placed = classes.join(found, F.col("cid") == F.col("node"), "left").select("digest", "rep", "cid", F.coalesce("component", "cid").alias("comp"))
     least = placed.groupBy(F.col("comp").alias("__comp")).agg(F.min("rep").alias("least"))
-    return members, written(placed.join(least, F.col("comp") == F.col("__comp")).drop("__comp"), "placed-classes"), shared
+    return members, written(placed.join(least, F.col("comp") == F.col("__comp")).drop("__comp"), "placed-classes")
 
 
 def answered(members: DataFrame, placed: DataFrame) -> DataFrame:
@@ -328,16 +378,18 @@ def answered(members: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest id among the
-    documents that links lead to.
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, the smallest id among the
+    documents that links lead to, and ``n_links``, how many other rows have a text that links with this one.
 
     Null or empty texts and texts without words have no shingles and link with nothing; their component is
     their own id. Rows that repeat an id are one document: whatever any of them links with, it links with.
     Null ids are never the smallest; they get the smallest id that their text leads to, or null. Other
     columns are ignored; an empty table gives an empty result."""
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    members, placed, _ = grouped(docs)
-    return answered(members, placed).drop("cid")
+    members, placed = grouped(docs)
+    links = links_of(docs, members, placed)
+    return answered(members, placed).join(links, F.col("cid") == F.col("__cid"), "left").select(
+        "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def digested(docs: DataFrame) -> DataFrame:
@@ -355,7 +407,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     repeat this id one stays. A row with a null id goes where its component has a document with an id; of
     components with null ids only one row stays, the smallest by the digest of its set and the hash of its
     text. Rows with a null id and no words link with nothing and stay."""
-    members, placed, _ = grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    members, placed = grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     kept = written(answered(members, placed).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept-documents")
     order = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]

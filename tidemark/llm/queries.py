@@ -133,7 +133,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_ngram_jaccard")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate component of every document (no SQL form that would end; tests hold it against brute force)."""
+    """Near-duplicate component and number of links of every document (no SQL form that would end; tests hold it against brute force)."""
     return ngramjoin.similar(table(spark, sf_dir, "documents"))
 
 
