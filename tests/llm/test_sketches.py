@@ -94,6 +94,19 @@ def test_archives_round_trip(spark):
     assert warc.read_archives(empty).count() == 0
 
 
+def test_revisits_of_other_or_missing_responses_fail(spark, tmp_path):
+    html, other = b"<p>" + b"x" * 2000, b"<p>" + b"y" * 2000
+    for name, target, held in (("right", 3, html), ("digest", 3, other), ("length", 3, html + b"x"), ("missing", 4, html)):
+        path = tmp_path / name
+        path.write_bytes(warc.record(3, "http://a.example/", held, None) + warc.record(1, "http://a.example/", html, target))
+        manifest = spark.createDataFrame([(str(path), 2)], "path string, n_records long")
+        if name == "right":
+            assert warc.read_archives(manifest).count() == 2
+        else:
+            with pytest.raises(warc.Damaged):
+                warc.read_archives(manifest).count()
+
+
 def test_each_record_is_a_gzip_member_and_damage_is_found():
     data = warc.record(5, "http://a/", b"p" * 3000, None) + warc.record(6, None, b"p" * 3000, 5)
     first = zlib.decompressobj(31)

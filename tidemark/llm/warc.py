@@ -215,8 +215,8 @@ def read_record(stream: Iterator[bytes], with_payload: bool) -> dict:
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """Every record of the manifest's archives: ``page_id``, ``payload_bytes``, ``payload_digest``,
-    ``record_type``, ``refers_to``, ``url`` and ``payload`` (null unless asked for). A damaged archive or a
-    record count that differs from the manifest's fails the job."""
+    ``record_type``, ``refers_to``, ``url`` and ``payload`` (null unless asked for). A damaged archive, a record
+    count that differs from the manifest's, or a revisit of no response with its digest and length raises."""
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,5 +238,20 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     n = manifest.count()  # archives, not rows
-    return (manifest.select("path", "n_records").repartition(max(1, n))
-            .mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"))
+    found = written(manifest.select("path", "n_records").repartition(max(1, n))
+                    .mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"), "warc-records")
+    lost = unmatched(found).first()
+    if lost is not None:
+        raise Damaged(f"revisits of page {lost['refers_to']} with {lost['payload_bytes']} bytes and digest {lost['payload_digest']} have no such response")
+    return found
+
+
+def unmatched(records: DataFrame) -> DataFrame:
+    """Distinct targets of revisits (``refers_to``, ``payload_digest``, ``payload_bytes``) that no response has."""
+    told = ["payload_digest", "payload_bytes"]
+    targets = records.where("record_type = 'revisit'").select("refers_to", *told).distinct()
+    held = records.where("record_type = 'response'").select(F.col("page_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in told])
+    same = F.col("refers_to").eqNullSafe(F.col("__id"))
+    for c in told:
+        same &= F.col(c) == F.col(f"__{c}")
+    return targets.join(held, same, "left_anti")
