@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -74,3 +75,20 @@ def added(df: DataFrame, fields: list[T.StructField]) -> T.StructType:
 
 def with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *new.values()], names=[*batch.schema.names, *new])
+
+
+def folded(rows: DataFrame, by: list[str], fold: Callable[[tuple, Iterator[tuple]], Iterable[tuple]], schema: str, then: tuple[str, ...] = ()) -> DataFrame:
+    """Rows dealt out by ``by`` and sorted by it, and by ``then``, go through ``fold(key, the key's rows in
+    turn)``; a key's rows are never held together. ``fold`` gives output rows as tuples."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names, out = rows.columns, T.StructType.fromDDL(schema)
+    kinds = {T.IntegerType(): pa.int32(), T.LongType(): pa.int64(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
+    types, fields, places = [kinds[f.dataType] for f in out], out.names, [names.index(c) for c in by]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows))
+        for key, group in groupby(every, lambda r: tuple(r[p] for p in places)):
+            for row in fold(key, group):
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names=fields)
+
+    return rows.repartition(n, *by).sortWithinPartitions(*by, *then).mapInArrow(run, out)

@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprint, langid, mixing, ngramjoin, quality, tokencount, urlfilter, warc
+from tidemark.llm import alignment, bpe, chat, fingerprint, langid, mixing, neighbours, ngramjoin, quality, spelling, tokencount, urlfilter, warc
 from tidemark.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +149,47 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likeness (no SQL form: the sketch)."""
     return fingerprint.compare(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of both tokenizers over every document (no SQL form; tests hold it against the libraries)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))
+    return done.select("doc_id", *alignment.NUMBERS, digest.alias("groups_sha256"))
+
+
+@query("op12_nearest_neighbours")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector (approximate: no SQL form; tests measure recall)."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(neighbours.build(vectors), vectors.where("vec_id % 50 = 0"), own=True)
+
+
+# crc32 bit by bit: each byte is followed by eight shifts; letters up to U+00FF have one byte or two in UTF-8
+_SPELLING_SQL = f"""
+WITH RECURSIVE r AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k, run FROM (
+       SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+     WHERE length(run) >= {spelling.MIN_CHARS}),
+g AS (SELECT k, run, count(*) AS n FROM r GROUP BY k, run),
+y AS (SELECT run, n, flatten(list_transform(string_split(k, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+       ELSE [192 + CAST(unicode(c) AS BIGINT) // 64, -1, -1, -1, -1, -1, -1, -1, -1, 128 + unicode(c) % 64, -1, -1, -1, -1, -1, -1, -1, -1] END)) AS steps FROM g),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, steps), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) AS h FROM y),
+d AS (SELECT CASE WHEN h % {spelling.DROP_ONE_IN} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= {spelling.MIN_CHARS} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+x AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+e AS (SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT x.word, w.word FROM x JOIN w ON x.rest = w.word UNION SELECT w.word, x.word FROM x JOIN w ON x.rest = w.word),
+m AS (SELECT a, count(*) AS n_near, max(n) AS most FROM e JOIN w ON e.b = w.word GROUP BY a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * w.n THEN most END AS form_n,
+             CASE WHEN most >= 2 * w.n THEN (SELECT min(b) FROM e JOIN w v ON e.b = v.word WHERE e.a = w.word AND v.n = m.most) END AS form FROM w LEFT JOIN m ON w.word = m.a),
+s AS (SELECT word, word AS at_word, 0 AS step FROM f UNION ALL SELECT s.word, f.form, step + 1 FROM s JOIN f ON s.at_word = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, (SELECT arg_max(at_word, step) FROM s WHERE s.word = f.word) AS root, f.n, f.n_near, f.form_n FROM f
+"""
+
+
+@query("op13_spelling_variants", _SPELLING_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms, roots and numbers of near words of every word of the documents."""
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
