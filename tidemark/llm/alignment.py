@@ -415,6 +415,8 @@ class Table:
 
 def packed_by_segment(keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
     """``segment``, keys and values as bytes, for each segment that the keys fall in."""
+    if not len(keys):
+        return
     seg = segment_of(keys)
     order = np.argsort(seg, kind="stable")
     found, starts = np.unique(seg[order], return_index=True)
