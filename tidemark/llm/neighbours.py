@@ -33,12 +33,12 @@ from tidemark.llm.fingerprint import written_bucketed
 #: Neighbours of a node, nodes that have it as theirs, and members of a neighbourhood that each one learns of.
 DEGREE, REVERSE, LEARN = 24, 24, 4
 #: Rounds end when less than this share of the neighbours is new.
-CHANGED = 0.02
+CHANGED = 0.05
 ROUNDS = 30
 #: Start nodes to choose from, and how many a query begins with.
 PIVOTS, STARTS = 256, 8
 #: Nodes of a query's beam, those it expands in a round, and those scored again.
-BEAM, EXPAND, RESCORE = 400, 50, 64
+BEAM, EXPAND, RESCORE = 400, 100, 64
 #: Neighbourhoods that are multiplied at once.
 BLOCK = 256
 #: The likeness of a neighbour that has not been measured.
@@ -174,17 +174,19 @@ def descended(nodes: DataFrame, size: int, d: int) -> DataFrame:
     step = F.col("j") if size - 1 <= DEGREE else F.pmod(F.xxhash64("node", "j"), F.lit(size - 1))
     edges = nodes.select("node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(degree - 1).cast("long"))).alias("j"))
     edges = edges.select(F.col("node").alias("u"), ((F.col("node") + 1 + step) % size).alias("w")).distinct()
-    edges = written(edges.withColumn("sim", F.lit(UNKNOWN).cast("float")).withColumn("new", F.lit(True)), "edges")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = written_bucketed(edges.withColumn("sim", F.lit(UNKNOWN).cast("float")).withColumn("new", F.lit(True)), "u")
     for turn in range(ROUNDS):
         members = edges.select(F.col("u").alias("v"), F.col("w").alias("m"), "new").unionByName(reversed_edges(edges))
         if turn == 0:  # likenesses to the node itself are known from the first round on
             members = members.unionByName(nodes.select(F.col("node").alias("v"), F.col("node").alias("m"), F.lit(False).alias("new")))
-        worst = edges.groupBy(F.col("u").alias("node")).agg(F.when(F.count("*") < degree, UNKNOWN).otherwise(F.min("sim")).cast("float").alias("least"))
-        found = met(with_codes(members, nodes.select("node", "code").join(worst.hint("merge"), "node")), d)
+        worst = edges.groupBy("u").agg(F.when(F.count("*") < degree, UNKNOWN).otherwise(F.min("sim")).cast("float").alias("least"))
+        found = met(with_codes(members, nodes.select("node", "code").join(worst.hint("merge"), F.col("node") == F.col("u")).drop("u")), d)
         both = edges.select("u", "w", "sim", F.lit(False).alias("new")).unionByName(found.withColumn("new", F.lit(True)))
-        both = both.groupBy("u", "w").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
+        # one shuffle for both steps, and none for the next round's worst neighbours
+        both = both.repartition(n, "u").groupBy("u", "w").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
         near = W.partitionBy("u").orderBy(F.col("sim").desc(), "w")
-        edges = written(both.withColumn("__r", F.row_number().over(near)).where(F.col("__r") <= degree).drop("__r"), "edges")
+        edges = written_bucketed(both.withColumn("__r", F.row_number().over(near)).where(F.col("__r") <= degree).drop("__r"), "u")
         released(nodes.sparkSession)
         if edges.where("new").count() <= CHANGED * size * degree:
             break
