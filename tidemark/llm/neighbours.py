@@ -39,6 +39,8 @@ ROUNDS = 30
 PIVOTS, STARTS = 256, 8
 #: Nodes of a query's beam, those it expands in a round, and those scored again.
 BEAM, EXPAND, RESCORE = 400, 100, 64
+#: Rows that a task should at least have.
+TASK_ROWS = 100_000
 #: Neighbourhoods that are multiplied at once.
 BLOCK = 256
 #: The likeness of a neighbour that has not been measured.
@@ -112,11 +114,20 @@ def reversed_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("__r", F.row_number().over(near)).where(F.col("__r") <= REVERSE).select(F.col("w").alias("v"), F.col("u").alias("m"), "new")
 
 
-def with_codes(members: DataFrame, nodes: DataFrame) -> DataFrame:
+def in_tasks(rows: DataFrame, expected: int) -> DataFrame:
+    """``rows`` in as many tasks as ``expected`` rows need, where that is fewer than there are partitions: whole
+    partitions are read one after the other, without a shuffle."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, expected // TASK_ROWS)
+    return rows.coalesce(wanted) if wanted < n else rows
+
+
+def with_codes(members: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """Members ``m`` of ``v`` with the columns of their nodes, dealt out and sorted by ``v``."""
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = members.join(nodes.withColumnRenamed("node", "m").hint("merge"), "m")
-    return rows.repartition(n, "v").sortWithinPartitions("v")
+    expected = size * (DEGREE + REVERSE)
+    rows = in_tasks(members.join(nodes.withColumnRenamed("node", "m").hint("merge"), "m"), expected)
+    return in_tasks(rows.repartition(n, "v").sortWithinPartitions("v"), expected)
 
 
 def groups_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -181,12 +192,13 @@ def descended(nodes: DataFrame, size: int, d: int) -> DataFrame:
         if turn == 0:  # likenesses to the node itself are known from the first round on
             members = members.unionByName(nodes.select(F.col("node").alias("v"), F.col("node").alias("m"), F.lit(False).alias("new")))
         worst = edges.groupBy("u").agg(F.when(F.count("*") < degree, UNKNOWN).otherwise(F.min("sim")).cast("float").alias("least"))
-        found = met(with_codes(members, nodes.select("node", "code").join(worst.hint("merge"), F.col("node") == F.col("u")).drop("u")), d)
+        found = met(with_codes(members, nodes.select("node", "code").join(worst.hint("merge"), F.col("node") == F.col("u")).drop("u"), size), d)
         both = edges.select("u", "w", "sim", F.lit(False).alias("new")).unionByName(found.withColumn("new", F.lit(True)))
         # one shuffle for both steps, and none for the next round's worst neighbours
         both = both.repartition(n, "u").groupBy("u", "w").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
         near = W.partitionBy("u").orderBy(F.col("sim").desc(), "w")
-        edges = written_bucketed(both.withColumn("__r", F.row_number().over(near)).where(F.col("__r") <= degree).drop("__r"), "u")
+        nearest = both.withColumn("__r", F.row_number().over(near)).where(F.col("__r") <= degree).drop("__r")
+        edges = written_bucketed(in_tasks(nearest, 2 * size * degree), "u")
         released(nodes.sparkSession)
         if edges.where("new").count() <= CHANGED * size * degree:
             break
@@ -236,7 +248,7 @@ def build(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") ->
                                               pa.array([b"".join(codes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["node", "ids", "codes"])
 
     members_of = edges.select(F.col("u").alias("v"), F.col("w").alias("m")).unionByName(reversed_edges(edges.withColumn("new", F.lit(False))).drop("new")).distinct()
-    graph = with_codes(members_of, nodes.select("node", "code")).select("v", "m", "code").mapInArrow(run, "node long, ids binary, codes binary")
+    graph = with_codes(members_of, nodes.select("node", "code"), size).select("v", "m", "code").mapInArrow(run, "node long, ids binary, codes binary")
     return Index(nodes, members, written_bucketed(graph, "node"), d, size)
 
 
@@ -283,7 +295,7 @@ def begun(queries: DataFrame, index: Index) -> DataFrame:
     return queries.select("qid", "code", "own").mapInArrow(run, STATE)
 
 
-def expanded(states: DataFrame, graph: DataFrame, d: int) -> DataFrame:
+def expanded(states: DataFrame, graph: DataFrame, d: int, n_queries: int) -> DataFrame:
     """One round: the nearest nodes that are not done meet the graph, and the states take in what they find."""
     def front(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -310,7 +322,8 @@ def expanded(states: DataFrame, graph: DataFrame, d: int) -> DataFrame:
                 [pa.nulls(0, pa.int64()), pa.nulls(0, pa.binary()), pa.nulls(0, pa.binary())], names=["qid", "ids", "sims"])
 
     fronts = states.where("open").mapInArrow(front, "node long, qid long, code binary, least float")
-    found = fronts.hint("shuffle_merge").join(graph.hint("merge"), "node").select("qid", "code", "least", "ids", "codes").mapInArrow(near, "qid long, ids binary, sims binary")
+    met_nodes = fronts.join(graph.hint("merge"), "node").select("qid", "code", "least", "ids", "codes")
+    found = in_tasks(met_nodes, n_queries * EXPAND).mapInArrow(near, "qid long, ids binary, sims binary")
     rows = states.withColumn("kind", F.lit(0)).unionByName(found.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 
     def merged(key: tuple, group: Iterator[tuple]) -> Iterator[tuple]:
@@ -329,7 +342,7 @@ def expanded(states: DataFrame, graph: DataFrame, d: int) -> DataFrame:
         yield beam(qid, code, np.concatenate(all_ids), np.concatenate(all_sims), np.concatenate([done, np.zeros(held, dtype=bool)]))
 
     rows = rows.select(F.col("qid").alias("key"), "kind", "qid", "code", "ids", "sims", "done", "open")
-    return folded(rows, ["key"], merged, STATE, then=("kind",))
+    return in_tasks(folded(rows, ["key"], merged, STATE, then=("kind",)), n_queries * EXPAND)
 
 
 def scored(states: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
@@ -352,7 +365,7 @@ def scored(states: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("qid"), b.column("node"), pa.array(score)], names=["qid", "node", "score"])
 
     pairs = states.mapInArrow(best, "qid long, node long")
-    pairs = pairs.hint("shuffle_merge").join(index.nodes.select("node", F.col("vector").alias("two")).hint("merge"), "node")
+    pairs = pairs.join(index.nodes.select("node", F.col("vector").alias("two")).hint("merge"), "node")
     pairs = pairs.join(queries.select("qid", F.col("vector").alias("one")).hint("merge"), "qid")
     return pairs.select("qid", "node", "one", "two").mapInArrow(run, "qid long, node long, score double")
 
@@ -375,8 +388,9 @@ def search(index: Index, queries: DataFrame, k: int = 5, query_id: str = "vec_id
     whole = classes.withColumn("__v", F.col("vector")).withColumn("vector", F.when(some, cut).otherwise(F.array(F.lit(1.0))))
     classes = written(coded(whole, d).withColumn("vector", F.col("__v")).drop("__v"), "query-classes")
     states = written(begun(classes, index), "beams")
+    n_queries = classes.count()
     while states.where("open").limit(1).count():
-        states = written(expanded(states, index.graph, d), "beams")
+        states = written(expanded(states, index.graph, d, n_queries), "beams")
         released(rows.sparkSession)
     found = scored(states, classes, index)
     # of every node the smallest ids, of every query one more than asked for
