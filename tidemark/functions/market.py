@@ -54,3 +54,11 @@ def clamp(c: Column, lo: float, hi: float) -> Column:
 def cents(p: Column) -> Column:
     """Limit price in whole cents, half-to-even, clamped to 1..99."""
     return clamp(F.bround(p * 100, 0), 1, 99).cast("long")
+
+
+def date_prefix(time: str, prefix: str) -> Column:
+    """whether the date text of ``time`` starts with ``prefix`` - a year, a month or a day as yyyy, yyyy-MM or
+    yyyy-MM-dd - as a range, so that the filter can be pushed down."""
+    unit = {4: "1 year", 7: "1 month", 10: "1 day"}[len(prefix)]
+    start = F.to_timestamp(F.lit((prefix + "-01-01")[:10]))
+    return (F.col(time) >= start) & (F.col(time) < start + F.expr(f"INTERVAL {unit}"))

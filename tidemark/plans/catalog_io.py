@@ -36,12 +36,12 @@ def s3_paged_extract(spark, d):
 
 @register("s6_append_sink", "WITH " + VIEW_SQL["outcomes"] + "\nSELECT ticker, result FROM outcomes")
 def s6_append_sink(spark, d):
-    """Two appends with a fixed column order into one folder, read back once."""
+    """Two batches appended with a fixed column order, the first of them sent again, read back once."""
     path = new_dir(spark, "s6")
     o = tv.outcomes(spark, d)
-    io.append_rows(o.where("ticker % 2 = 0"), path, ["ticker", "result"])
-    io.append_rows(o.where("ticker % 2 = 1"), path, ["ticker", "result"])
-    return io.read_csv(spark, path, "ticker long, result string")
+    for batch in (0, 1, 0):
+        io.append_batch(o.where(f"ticker % 2 = {batch}"), path, ["ticker", "result"], batch)
+    return io.read_appended(spark, path, "ticker long, result string")
 
 
 @register("s7_rounded_log", "WITH " + VIEW_SQL["ticks"] + """

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import market
 from tidemark.oracle.features_sql import KAL_SQL, PREP_SQL, TR_SQL, FEAT_SQL, BARS_SQL
 from tidemark.operators import clean
 from tidemark.operators.asof import AsofRight, asof_join
@@ -198,9 +199,9 @@ def f18_null_free_numeric_columns(spark, d):
 @register("f19_date_prefix_filter", W([VIEW_SQL["fills"]]) + """
 SELECT order_key, line_no, ticker, portfolio, time FROM fills WHERE starts_with(strftime(time, '%Y-%m-%d'), '1996-03')""")
 def f19_date_prefix_filter(spark, d):
-    """rows of a log whose date text starts with a prefix."""
+    """rows of a log whose date text starts with a prefix: a range of times, which reaches the scan."""
     f = tv.fills(spark, d)
-    return f.where(F.date_format("time", "yyyy-MM-dd").startswith("1996-03")).select("order_key", "line_no", "ticker", "portfolio", "time")
+    return f.where(market.date_prefix("time", "1996-03")).select("order_key", "line_no", "ticker", "portfolio", "time")
 
 
 @register("f20_point_lookup", W([VIEW_SQL["quotes"], KAL_SQL, PREP_SQL]) + """

@@ -424,6 +424,38 @@ def l9_settlement(spark, d):
                                                          "price", "contracts", "won", "pnl")
 
 
+@register("r9_settlement_on_arrival", W([VIEW_SQL["fills"], VIEW_SQL["outcomes"], _RP, _OPEN]) + f"""
+SELECT ticker, side, time, order_key, line_no, portfolio, price, contracts, won, round(pnl, 9) AS pnl FROM settled""", ["pnl"])
+def r9_settlement_on_arrival(spark, d):
+    """Outcomes arrive as a stream, every fifth twice, over many micro-batches; the log of closed lots."""
+    from tidemark.streaming import jobs
+    lots_path, landed, log, state = (jobs.new_dir(spark, f"r9-{x}") for x in ("lots", "outcomes", "log", "state"))
+    lots = lg.open_lots(_fills(spark, d), FILL_ORDER)  # holds the ticker twice: as key and in the order
+    lots.toDF(*[c if c not in lots.columns[:i] else "__again" for i, c in enumerate(lots.columns)]).drop("__again").write.parquet(lots_path)
+    o = tv.outcomes(spark, d).select("ticker", "result")
+    again = o.unionByName(o.where("ticker % 5 = 0"))
+    again.repartition(ARRIVAL_FILES, F.xxhash64("ticker", F.monotonically_increasing_id())).write.parquet(landed)
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    return jobs.run_settlement(stream, spark.read.parquet(lots_path), log, state)
+
+
+@register("s7_closed_lot_log", W([VIEW_SQL["fills"], VIEW_SQL["outcomes"], _RP, _OPEN]) + f"""
+SELECT ticker, side, time, order_key, line_no, portfolio, round(price, 4) AS price, contracts, won, round(pnl, 4) AS pnl FROM settled""", ["pnl"])
+def s7_closed_lot_log(spark, d):
+    """Closed lots logged at four decimals in two batches, one of them sent again."""
+    from tidemark.sources import io
+    from tidemark.streaming import jobs
+    log = jobs.new_dir(spark, "s7-log")
+    lots = lg.settle(lg.open_lots(_fills(spark, d), FILL_ORDER), tv.outcomes(spark, d))
+    for batch in (0, 1, 1):
+        io.append_closed_lots(lots.where(f"ticker % 2 = {batch}"), log, jobs.LOT_COLUMNS, batch)
+    return io.read_appended(spark, log, jobs.LOT_SCHEMA)
+
+
+#: Files, and so micro-batches, in which outcomes arrive in the registered query.
+ARRIVAL_FILES = 10
+
+
 @register("l10_pnl_summary", W([VIEW_SQL["fills"], VIEW_SQL["outcomes"], _RP, _LOTS, _OPEN, f"""ev AS (
   SELECT ticker, contracts * (exit_price - entry_price - {FEE('entry_price')} - {FEE('exit_price')}) AS pnl,
          contracts * (exit_price - entry_price - {FEE('entry_price')} - {FEE('exit_price')}) > 0 AS won FROM lots

@@ -24,6 +24,61 @@ def append_rows(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("append").option("header", True).option("timestampFormat", TS_FORMAT).csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def append_batch(df: DataFrame, path: str, columns: list[str], batch: int) -> bool:
+    """Append ``df`` as batch number ``batch``, whole or not at all, in a fixed column order.
+
+    The rows go to the batch's own folder; only when they are all there does a row with the batch and its row
+    count go to the manifest, and readers see batches of the manifest alone. A write that fails leaves no row
+    there, so its parts are held back (``held_back``) and replaced by the retry; a batch that is in the manifest is
+    not written again. Returns whether it was written now."""
+    spark = df.sparkSession
+    folder, manifest = f"{path}/data/batch={batch}", f"{path}/manifest/batch={batch}"
+    if path_exists(spark, f"{manifest}/_SUCCESS"):
+        return False
+    df.select(*columns).write.mode("overwrite").option("header", True).option("timestampFormat", TS_FORMAT).csv(folder)
+    # the schema comes from the rows' own, so nothing is inferred
+    rows = spark.read.schema(df.select(*columns).schema).option("header", True).option("timestampFormat", TS_FORMAT).csv(folder)
+    rows.agg(F.count("*").alias("n_rows")).write.mode("overwrite").parquet(manifest)
+    return True
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame:
+    """``batch`` and ``n_rows`` of every batch that is there as a whole."""
+    if not path_exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], "n_rows long, batch long")
+    return spark.read.schema("n_rows long, batch long").parquet(f"{path}/manifest")
+
+
+def read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all whole batches; without any, none."""
+    if not path_exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch long").option("header", True).option("timestampFormat", TS_FORMAT).csv(f"{path}/data")
+    return rows.join(committed(spark, path).select("batch"), "batch", "left_semi").drop("batch")
+
+
+def held_back(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """S6 failure report: ``batch`` and ``n_rows`` found so far of batches that have not been written whole."""
+    if not path_exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], "batch long, n_rows long")
+    rows = spark.read.schema(f"{schema}, batch long").option("header", True).csv(f"{path}/data")
+    return rows.groupBy("batch").agg(F.count("*").alias("n_rows")).join(committed(spark, path).select("batch"), "batch", "left_anti")
+
+
+#: Fixed value: decimals of the closed-lot log.
+CLOSED_LOT_DIGITS = {"price": 4, "pnl": 4}
+
+
+def append_closed_lots(lots: DataFrame, path: str, columns: list[str], batch: int) -> bool:
+    """Closed lots appended as one batch, prices and PnL at four decimals."""
+    return append_batch(log_projection(lots.select(*columns), CLOSED_LOT_DIGITS), path, columns, batch)
+
+
 def jdbc_extract(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int,
                  partitions: int, properties: dict | None = None) -> DataFrame:
     """Full-table extract from a database, split into ranges of ``partition_column``."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidemark.operators import ledger
 from tidemark.operators.parse import TRADE_MSG
 from tidemark.session import scratch_path
+from tidemark.sources import io
 
 RAW_SCHEMA = "raw string"
 
@@ -127,3 +129,31 @@ def sequence_gap_alarm(trades: DataFrame) -> DataFrame:
 def coin_counts(trades: DataFrame) -> DataFrame:
     """Buffer status: rows per coin, update mode."""
     return trades.groupBy(F.regexp_replace("product_id", "-USD", "").alias("coin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- R9: settlement on arrival
+LOT_COLUMNS = ["ticker", "side", "time", "order_key", "line_no", "portfolio", "price", "contracts", "won", "pnl"]
+LOT_SCHEMA = "ticker long, side string, time timestamp, order_key long, line_no long, portfolio long, price double, contracts double, won boolean, pnl double"
+
+
+def settle_arrivals(open_lots: DataFrame, path: str) -> Callable[[DataFrame, int], None]:
+    """What a stream of outcomes (ticker, result) does with each micro-batch.
+
+    The lots of the batch's tickers are closed and appended to the log under ``path`` by batch id. A ticker closes
+    once: results that come again, in the batch or in a later one, change nothing (of two results in a batch the
+    smaller counts), and a batch that is replayed is already in the log. A ticker without lots closes none."""
+    def close(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        logged = io.read_appended(spark, path, LOT_SCHEMA).select("ticker").distinct()
+        new = batch.groupBy("ticker").agg(F.min("result").alias("result")).join(logged, "ticker", "left_anti")
+        io.append_batch(ledger.settle(open_lots, new), path, LOT_COLUMNS, batch_id)
+
+    return close
+
+
+def run_settlement(outcomes: DataFrame, open_lots: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run the stream over all files that are there and return the log of closed lots."""
+    query = (outcomes.writeStream.foreachBatch(settle_arrivals(open_lots, path))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return io.read_appended(open_lots.sparkSession, path, LOT_SCHEMA)
