@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,16 +11,16 @@ from tidemark.functions.market import clamp
 from tidemark.operators.ordering import dense_index, rolling_in_chunks
 
 
-def market_bars(quotes: DataFrame, bin_us: int) -> DataFrame:
-    """A3: left-closed bins of ``bin_us``: mean mid and spread per (bin, event); rows missing a
+def market_bars(quotes: DataFrame, bin_us: int, by: Sequence[str] = ()) -> DataFrame:
+    """A3: left-closed bins of ``bin_us``: mean mid and spread per (``by``, bin, event); rows missing a
     key field are dropped first, incomplete bars after; mid clipped to [0, 1], spread >= 0."""
     q = quotes.where(F.col("curr_time").isNotNull() & F.col("open_time").isNotNull() & F.col("close_time").isNotNull()
                      & F.col("yes_mid").isNotNull())
     b = F.expr(f"timestamp_micros(floor(unix_micros(curr_time) / {bin_us}) * {bin_us})")
-    bars = q.groupBy(b.alias("time"), "open_time", "close_time").agg(F.avg("yes_mid").alias("yes_mid"),
+    bars = q.groupBy(*by, b.alias("time"), "open_time", "close_time").agg(F.avg("yes_mid").alias("yes_mid"),
                                                                      F.avg("yes_spread").alias("yes_spread"))
     bars = bars.where(F.col("yes_mid").isNotNull() & F.col("yes_spread").isNotNull())
-    return bars.select("time", "open_time", "close_time", clamp(F.col("yes_mid"), 0.0, 1.0).alias("yes_mid"),
+    return bars.select(*by, "time", "open_time", "close_time", clamp(F.col("yes_mid"), 0.0, 1.0).alias("yes_mid"),
                        F.when(F.col("yes_spread") < 0, F.lit(0.0)).otherwise(F.col("yes_spread")).alias("yes_spread"))
 
 

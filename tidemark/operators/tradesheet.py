@@ -18,39 +18,41 @@ MAX_LAG = 7
 SEASONAL = (2, 3, 5, 7)
 
 
-def with_previous_row(market: DataFrame, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Each market row with its predecessor in the global order (``prev_*``); the first row has none.
-    Positions come from range partitions, so the whole history is never in one task."""
-    numbered = dense_index(market, list(order), name="_i")
-    before = numbered.select((F.col("_i") + 1).alias("_i"), *[F.col(c).alias(f"prev_{c}") for c in cols])
-    return numbered.join(before, "_i").drop("_i")
+def with_previous_row(market: DataFrame, order: Sequence[str], cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Each market row with its predecessor in the global order (``prev_*``), within ``by``; the first row has
+    none. Positions come from range partitions, so the whole history is never in one task."""
+    numbered = dense_index(market, list(order), by=by, name="_i")
+    before = numbered.select(*by, (F.col("_i") + 1).alias("_i"), *[F.col(c).alias(f"prev_{c}") for c in cols])
+    return numbered.join(before, [*by, "_i"]).drop("_i")
 
 
-def trade_sheet(market: DataFrame, forecasts: DataFrame) -> DataFrame:
+def trade_sheet(market: DataFrame, forecasts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """J11 + E13: forecasts (``time``, ``predicted``) met with the market row of that time and the row before;
     kept if both belong to the same event and it is still open; bid and ask are mid -+ half spread in [0, 1].
 
     ``market``: ``time``, ``open_time``, ``close_time``, ``yes_mid``, ``yes_spread``; of rows of one time the
-    first by event counts."""
-    cols = ["time", "open_time", "close_time", "yes_mid", "yes_spread"]
-    rows = with_previous_row(market.select(*cols), ["time", "open_time", "close_time"], cols)
-    first = rows.groupBy("time").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "time"]), F.struct("open_time", "close_time")).alias("r")).select("time", "r.*")
-    x = first.join(forecasts.where(F.col("predicted").isNotNull()), "time")
+    first by event counts. ``by``: columns of both, if there are several markets. Other columns of the forecasts
+    (a model's name) come first in the result."""
+    by, cols = list(by), ["time", "open_time", "close_time", "yes_mid", "yes_spread"]
+    rows = with_previous_row(market.select(*by, *cols), ["time", "open_time", "close_time"], cols, by)
+    same = [*by, "time"]
+    first = rows.groupBy(*same).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in same]), F.struct("open_time", "close_time")).alias("r")).select(*same, "r.*")
+    x = first.join(forecasts.where(F.col("predicted").isNotNull()), same)
     x = x.where("open_time = prev_open_time and close_time = prev_close_time and prev_time < prev_close_time and time <= close_time")
 
     def quote(sign: int, mid: str, spread: str) -> Column:
         return clamp(F.col(mid) + sign * F.col(spread) / 2, 0.0, 1.0)
 
     return x.select(
-        "time", F.col("prev_yes_mid").alias("current"), F.col("yes_mid").alias("actual"), "predicted",
+        *[c for c in forecasts.columns if c not in ("time", "predicted")], "time", F.col("prev_yes_mid").alias("current"), F.col("yes_mid").alias("actual"), "predicted",
         quote(1, "prev_yes_mid", "prev_yes_spread").alias("yes_ask"), (1 - quote(-1, "prev_yes_mid", "prev_yes_spread")).alias("no_ask"),
         quote(-1, "yes_mid", "yes_spread").alias("future_yes_bid"), (1 - quote(1, "yes_mid", "yes_spread")).alias("future_no_bid"))
 
 
-def threshold_curve(sheet: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
+def threshold_curve(sheet: DataFrame, thresholds: Sequence[float] = THRESHOLDS, by: Sequence[str] = ()) -> DataFrame:
     """For every cutoff, trade the sign of the predicted move where it is at least the cutoff, exit at
     the next bid. Each row meets the few cutoffs by ``explode``; sums are partial, so the output is one row per
-    cutoff whatever the sheet's size. Without trades all figures are 0; without rows there is no curve."""
+    cutoff (and ``by``) whatever the sheet's size. Without trades all figures are 0; without rows there is no curve."""
     move = F.col("predicted") - F.col("current")
     x = sheet.withColumn("_m", move).withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
     side = F.when(F.abs("_m") >= F.col("threshold"), F.signum("_m")).otherwise(F.lit(0.0))
@@ -58,24 +60,26 @@ def threshold_curve(sheet: DataFrame, thresholds: Sequence[float] = THRESHOLDS)
     pnl = F.when(F.col("_s") > 0, F.col("future_yes_bid") - F.col("yes_ask")).when(F.col("_s") < 0, F.col("future_no_bid") - F.col("no_ask"))
     x = x.withColumn("_p", pnl)
     n = F.count(F.lit(1))
-    return x.groupBy("threshold").agg(
+    return x.groupBy(*by, "threshold").agg(
         (F.count_if(F.col("_s") != 0) / n).alias("coverage"), F.count_if(F.col("_s") != 0).alias("trade_count"),
         F.count_if(F.col("_s") > 0).alias("yes_trade_count"), F.count_if(F.col("_s") < 0).alias("no_trade_count"),
         F.coalesce(F.avg((F.col("_p") > 0).cast("double")), F.lit(0.0)).alias("hit_rate"),
         F.coalesce(F.avg("_p"), F.lit(0.0)).alias("avg_gross_pnl"), F.coalesce(F.sum("_p"), F.lit(0.0)).alias("total_gross_pnl"))
 
 
-def best_cutoff(sheet: DataFrame, min_coverage: float = MIN_COVERAGE, nd: int = 9) -> DataFrame:
-    """One row: the cutoff with the largest total, then mean PnL among those covered enough (all, if none
-    is), ties to the smaller cutoff; and the share of moved prices whose direction was foreseen. PnL is
+def best_cutoff(sheet: DataFrame, min_coverage: float = MIN_COVERAGE, nd: int = 9, by: Sequence[str] = ()) -> DataFrame:
+    """One row (per ``by``): the cutoff with the largest total, then mean PnL among those covered enough (all,
+    if none is), ties to the smaller cutoff; and the share of moved prices whose direction was foreseen. PnL is
     compared after rounding to ``nd`` digits, as sums come in any order."""
-    curve = threshold_curve(sheet)
+    keys = list(by) or ["_k"]
+    sheet = sheet if by else sheet.withColumn("_k", F.lit(1))
+    curve = threshold_curve(sheet, by=keys)
     rank = F.struct((F.col("coverage") >= min_coverage).alias("e"), F.round("total_gross_pnl", nd).alias("t"), F.round("avg_gross_pnl", nd).alias("a"), (-F.col("threshold")).alias("n"))
-    best = curve.agg(F.max_by(F.struct("*"), rank).alias("b")).select("b.*")
+    best = curve.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in curve.columns if c not in keys]), rank).alias("b")).select(*keys, "b.*")
     moved = F.col("actual") != F.col("current")
     right = F.signum(F.col("predicted") - F.col("current")) == F.signum(F.col("actual") - F.col("current"))
-    accuracy = sheet.agg(F.avg(F.when(moved, right.cast("double"))).alias("directional_accuracy"))
-    return best.withColumn("_k", F.lit(1)).join(accuracy.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    accuracy = sheet.groupBy(*keys).agg(F.avg(F.when(moved, right.cast("double"))).alias("directional_accuracy"))
+    return best.join(accuracy, keys).drop("_k")
 
 
 def pacf(acf: DataFrame, key: str) -> DataFrame:

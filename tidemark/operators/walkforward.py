@@ -1,10 +1,10 @@
-"""Walk-forward autoregressions (X6, X8) and the choice among them.
+"""Autoregressions at every point of long series.
 
 A fit on the trailing ``window`` points needs only sums of products of lags. These are differences of running
 sums, so every point of a series gets its moments in one pass over chunks of consecutive rows, whatever the
 window. All fits - every origin and order - are then small linear systems, solved in batches in Arrow tasks.
 Nothing looks ahead: the moments of an origin hold points up to it. Coefficients are least squares given the
-first lags; moving-average terms are not fitted.
+first lags. Models with moving averages, walked forward, are in ``arma``.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ def solve(moments: np.ndarray, p: int) -> np.ndarray:
 
 
 def forecasts(moments: DataFrame, key: str, order: str, orders: Sequence[int], refit_every: int = 1) -> DataFrame:
-    """X6 + X8: per origin and order p the forecast of the next value (``predicted``), null before enough points,
+    """Per origin and order p the forecast of the next value (``predicted``), null before enough points,
     with the fit's ``intercept`` (of the uncentred value) and ``coefs``."""
     rows = moments.select(key, order, "i", "mean", "lags", F.col(f"m{refit_every}").alias("m"))
     names = rows.select(key, order, "i")
@@ -95,41 +95,3 @@ def forecasts(moments: DataFrame, key: str, order: str, orders: Sequence[int], r
 
     schema = names.schema.simpleString()[len("struct<"):-1]
     return rows.mapInPandas(run, f"{schema}, p long, predicted double, intercept double, coefs array<double>")
-
-
-def scored(series: DataFrame, key: str, order: str, x: str, orders: Sequence[int], window: int = FIT_POINTS) -> DataFrame:
-    """One-step errors of AR(p) and ARIMA(p, 1, 0) over validation (refit every 10 points) and holdout
-    (every point): ``family``, ``p``, ``part``, ``mae``, ``rmse``, ``bias``, ``n`` per series."""
-    s = dense_index(series.select(key, order, x), [order], by=[key], name="i")
-    before = s.select(F.col(key).alias("_k"), (F.col("i") + 1).alias("_i"), F.col(x).alias("_before"))
-    both = s.join(before, (F.col(key) == F.col("_k")) & (F.col("i") == F.col("_i")), "left").drop("_k", "_i")
-    sizes = s.groupBy(F.col(key).alias("_k")).agg(F.max("i").alias("_last"))
-    after = both.join(sizes, F.col(key) == F.col("_k")).drop("_k")
-    part = F.when(F.col("_last") - F.col("i") < TEST_POINTS, "test").when(F.col("_last") - F.col("i") < TEST_POINTS + VALID_POINTS, "valid")
-    target = after.select(F.col(key).alias("_key"), F.col("i").alias("_target"), F.col(x).alias("_actual"), F.col("_before"), part.alias("part")).where("part is not null")
-    outs = []
-    for family, frame, offset in (("AR", series, 0), ("ARIMA", both.where("_before is not null").select(key, order, (F.col(x) - F.col("_before")).alias(x)), 1)):
-        m = lag_moments(frame, key, order, x, window, (VALID_EVERY, TEST_EVERY))
-        for every, name in ((VALID_EVERY, "valid"), (TEST_EVERY, "test")):
-            f = forecasts(m, key, order, orders, every).select(key, "p", "predicted", (F.col("i") + 1 + offset).alias("_at"))
-            j = f.join(target.where(F.col("part") == name), (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_target")))
-            level = F.col("predicted") + (F.col("_before") if family == "ARIMA" else F.lit(0.0))
-            outs.append(j.select(key, F.lit(family).alias("family"), "p", "part", (F.col("_actual") - level).alias("_e")))
-    e = outs[0]
-    for o in outs[1:]:
-        e = e.unionByName(o)
-    return e.groupBy(key, "family", "p", "part").agg(F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"),
-                                                     F.avg("_e").alias("bias"), F.count(F.lit(1)).alias("n"))
-
-
-def selected(scores: DataFrame, key: str, keep: int = KEEP) -> DataFrame:
-    """Per series the ``keep`` models best in validation and the best of each family, ranked by their error
-    in the holdout. The tables are as small as the model grid."""
-    spec = F.struct("mae", "family", "p")
-    valid = scores.where("part = 'valid'").groupBy(key).agg(F.sort_array(F.collect_list(spec)).alias("v"))
-    best = scores.where("part = 'valid'").groupBy(key, "family").agg(F.min(spec).alias("b")).groupBy(key).agg(F.collect_list("b").alias("b"))
-    chosen = valid.join(best, key).select(key, F.explode(F.array_distinct(F.concat(F.slice("v", 1, keep), "b"))).alias("s")).select(key, "s.family", "s.p", F.col("s.mae").alias("valid_mae"))
-    test = scores.where("part = 'test'").select(key, "family", "p", F.col("mae").alias("test_mae"))
-    both = chosen.join(test, [key, "family", "p"])
-    order = both.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("test_mae", "family", "p", "valid_mae"))).alias("t"))
-    return order.select(key, F.posexplode("t").alias("rank", "m")).select(key, (F.col("rank") + 1).cast("long").alias("rank"), "m.family", "m.p", "m.valid_mae", "m.test_mae")

@@ -363,7 +363,7 @@ def x5_skew_report(spark, d):
                                     F.round(F.max("diff"), 6).alias("max_diff"), F.round(F.avg("diff"), 6).alias("mean_diff"))
 
 
-# ---------------------------------------------------------------- X6, X8, X9, Q12: walk-forward models
+# ---------------------------------------------------------------- X6: autoregressions
 def _coin_bars(spark, d):
     from tidemark.operators import clean
     bars = feat.spot_bars(clean.clean_trades(tv.trades(spark, d), tv.COINS, with_id=False), None, UNIT_US)
@@ -379,15 +379,3 @@ def x6_ar1_fits(spark, d):
     """AR(1) on the trailing 480 points at every origin, against SQL regression windows."""
     f = wf.forecasts(wf.lag_moments(_coin_bars(spark, d), "coin", "bar_time", "x"), "coin", "bar_time", [1])
     return f.select("coin", "bar_time", "i", F.round(F.get("coefs", 0), 6).alias("slope"), F.round("intercept", 3).alias("intercept"))
-
-
-@register("x8_walk_forward", None)
-def x8_walk_forward(spark, d):
-    """Validation and holdout errors of AR and ARIMA(p, 1, 0) models per coin."""
-    return wf.scored(_coin_bars(spark, d), "coin", "bar_time", "x", range(1, wf.MAX_LAG + 1))
-
-
-@register("x9_model_selection", None)
-def x9_model_selection(spark, d):
-    """X9 (+ Q12): the models kept after validation, ranked by holdout error."""
-    return wf.selected(x8_walk_forward(spark, d), "coin")

@@ -52,4 +52,5 @@ def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     import tidemark.plans.catalog_io  # noqa: F401
     import tidemark.plans.catalog_ts  # noqa: F401
     import tidemark.plans.catalog_more  # noqa: F401
+    import tidemark.plans.catalog_models  # noqa: F401
     return REGISTRY
