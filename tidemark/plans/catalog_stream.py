@@ -6,9 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans.catalog_parse import RAW_SPOT_SQL, raw_spot_messages
+from tidemark.operators.ordering import dense_index
 from tidemark.registry import register
-from tidemark.sources.testviews import UNIT_US, VIEW_SQL
-from tidemark.streaming import jobs
+from tidemark.sources import testviews as tv
+from tidemark.sources.testviews import COINS, UNIT_US, VIEW_SQL
+from tidemark.streaming import jobs, live
 
 
 def W(parts):
@@ -87,3 +89,71 @@ def r10_stream_buffer_status(spark, d):
     """Rows per coin in update mode (latest count per coin)."""
     out = jobs.run_available_now(jobs.coin_counts(_typed(spark, d, "r10")), spark, "r10", mode="update")
     return jobs.latest_per_key(jobs.read_batches(spark, out, "coin string, n long"), ["coin"])
+
+
+# ---------------------------------------------------------------- R4, R5: live features
+_OTHERS = [c for c in COINS if c != "BTC"]
+#: Rows of a landed file, which is a micro-batch.
+_ROWS_PER_FILE = 2_000
+
+_LIVE_SQL = [VIEW_SQL["quotes"], VIEW_SQL["trades"], f"""msgs AS (
+  SELECT *, row_number() OVER (ORDER BY curr_time, kind, id) - 1 AS arrival FROM (
+    SELECT coin, open_time, close_time, curr_time, last_price_dollars, yes_ask_dollars, yes_bid_dollars, floor_strike, CAST(NULL AS DOUBLE) AS price, 1 AS kind, id
+    FROM quotes WHERE coin IN {tuple(COINS)}
+    UNION ALL SELECT replace(product_id, '-USD', ''), NULL, NULL, trade_time, NULL, NULL, NULL, NULL, price, 0, id
+    FROM trades WHERE replace(product_id, '-USD', '') IN {tuple(COINS)} AND trade_time IS NOT NULL AND price IS NOT NULL)),
+lq AS (
+  SELECT *, min(arrival) OVER (PARTITION BY coin, open_time, close_time) AS born FROM (
+    SELECT *, last_value(price IGNORE NULLS) OVER (PARTITION BY coin ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spot_price FROM msgs)
+  WHERE kind = 1),
+ln AS (
+  SELECT *, dense_rank() OVER (PARTITION BY coin ORDER BY born) AS event_no, born = max(born) OVER (PARTITION BY coin ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS latest,
+         (yes_ask_dollars + yes_bid_dollars) / 2 AS yes_mid_dollars, yes_ask_dollars - yes_bid_dollars AS yes_spread_dollars, spot_price - floor_strike AS distance_from_strike FROM lq),
+lc AS (SELECT *, coalesce(yes_mid_dollars - lag(yes_mid_dollars) OVER e, 0) AS yes_mid_change_1s, coalesce(yes_mid_dollars - lag(yes_mid_dollars, 5) OVER e, 0) AS yes_mid_change_5s
+       FROM ln WINDOW e AS (PARTITION BY coin, open_time, close_time ORDER BY arrival)),
+live AS MATERIALIZED (
+  SELECT coin, open_time, close_time, curr_time, arrival, event_no, latest, spot_price, last_price_dollars, round(yes_mid_dollars, 6) AS yes_mid_dollars,
+         round(yes_spread_dollars, 6) AS yes_spread_dollars, round(distance_from_strike, 6) AS distance_from_strike,
+         round(yes_mid_change_1s, 6) AS yes_mid_change_1s, round(yes_mid_change_5s, 6) AS yes_mid_change_5s,
+         round(CASE WHEN count(*) OVER w30 = 30 THEN stddev_pop(yes_mid_change_1s) OVER w30 ELSE 0 END, 6) AS yes_mid_change_std_30s,
+         round(CASE WHEN count(*) OVER w60 = 60 THEN stddev_pop(yes_mid_change_1s) OVER w60 ELSE 0 END, 6) AS yes_mid_change_std_60s,
+         round(CASE WHEN count(*) OVER w30 = 30 THEN avg(yes_spread_dollars) OVER w30 ELSE yes_spread_dollars END, 6) AS yes_spread_mean_30s
+  FROM lc WINDOW w30 AS (PARTITION BY coin, open_time, close_time ORDER BY arrival ROWS 29 PRECEDING),
+                 w60 AS (PARTITION BY coin, open_time, close_time ORDER BY arrival ROWS 59 PRECEDING))"""]
+_ROUNDED = [c for c in live.FEATURES if c != "last_price_dollars"]
+
+
+def _live(spark, d, name):
+    """Messages landed by arrival, the stream run over all of them; the folder of its tables."""
+    nothing = F.lit(None).cast("double")
+    quotes = tv.quotes(spark, d).where(F.col("coin").isin(list(COINS)))
+    quotes = quotes.select("coin", "open_time", "close_time", "curr_time", "last_price_dollars", "yes_ask_dollars", "yes_bid_dollars", "floor_strike",
+                           nothing.alias("price"), F.lit(1).alias("kind"), "id")
+    never = F.lit(None).cast("timestamp")
+    spot = tv.trades(spark, d).withColumn("coin", F.regexp_replace("product_id", "-USD", "")).where(F.col("coin").isin(list(COINS)) & F.col("trade_time").isNotNull() & F.col("price").isNotNull())
+    spot = spot.select("coin", never.alias("open_time"), never.alias("close_time"), F.col("trade_time").alias("curr_time"),
+                       *[nothing.alias(c) for c in ("last_price_dollars", "yes_ask_dollars", "yes_bid_dollars", "floor_strike")], "price", F.lit(0).alias("kind"), "id")
+    messages = dense_index(quotes.unionByName(spot), ["curr_time", "kind", "id"], name="arrival").drop("kind", "id")
+    src, out, state = (jobs.new_dir(spark, f"{name}-{x}") for x in ("src", "out", "state"))
+    live.land_rows(messages, src, "arrival", _ROWS_PER_FILE)
+    stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(src)
+    live.run_live(stream, out, state, "BTC", _OTHERS)
+    return out
+
+
+@register("r4_event_state", W(_LIVE_SQL) + "\nSELECT * FROM live", [])
+def r4_event_state(spark, d):
+    """Features of every quote from its event's bounded history, over many micro-batches."""
+    rows = spark.read.schema(live.ROW).parquet(f"{_live(spark, d, 'r4')}/events")
+    return rows.select(*[F.round(c, 6).alias(c) if c in _ROUNDED else F.col(c) for c in rows.columns if c != "batch_id"])
+
+
+@register("r5_cross_asset_rows", W(_LIVE_SQL) + "\nSELECT b.arrival, b.yes_mid_dollars, " + ", ".join(
+    f"{o}.arrival AS {o}_arrival, " + ", ".join(f"{o}.{c} AS {o}_{c}" for c in live.FEATURES) for o in _OTHERS) + ",\n       CASE " + " ".join(
+    f"WHEN {o}.arrival IS NULL THEN 'no {o} market data yet'" for o in _OTHERS) + " WHEN b.spot_price IS NULL THEN 'no BTC spot data yet' ELSE '' END AS reason\nFROM (SELECT * FROM live WHERE coin = 'BTC') b" + "".join(
+    f"\nASOF LEFT JOIN (SELECT * FROM live WHERE coin = '{o}' AND latest) {o} ON b.arrival >= {o}.arrival" for o in _OTHERS))
+def r5_cross_asset_rows(spark, d):
+    """BTC quotes with the newest row of the other coins' latest events, and what is missing."""
+    rows = spark.read.parquet(f"{_live(spark, d, 'r5')}/cross")
+    keep = ["arrival", "yes_mid_dollars", *[f"{o}_{c}" for o in _OTHERS for c in ("arrival", *live.FEATURES)], "reason"]
+    return rows.select(*[F.round(c, 6).alias(c) if c.removeprefix(c.split("_")[0] + "_") in _ROUNDED or c in _ROUNDED else F.col(c) for c in keep])
