@@ -85,9 +85,9 @@ def test_stream_equals_a_replay_also_across_a_restart(spark):
         stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
         return live.run_live(stream, out, state, "BTC", OTHERS)
 
-    live.land_rows(frame(spark, rows[:half]), f"{src}/one", "arrival", 350)
+    jobs.land_in_order(frame(spark, rows[:half]), f"{src}/one", "arrival", 5, "parquet")
     run()
-    live.land_rows(frame(spark, rows[half:]), f"{src}/two", "arrival", 350)
+    jobs.land_in_order(frame(spark, rows[half:]), f"{src}/two", "arrival", 5, "parquet")
     query = run()
     assert len(live.batches(spark, f"{out}/events")) >= 10
     got, want = spark.read.schema(live.ROW).parquet(f"{out}/events").collect(), replay(rows)

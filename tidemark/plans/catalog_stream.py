@@ -28,12 +28,14 @@ _TRADES_SQL = W([VIEW_SQL["trades"], RAW_SPOT_SQL, """pt AS (
 _TRADE_SCHEMA = "trade_id long, product_id string, price double, size double, side string, sequence long, trade_time timestamp, arrival long"
 
 
-N_BATCHES = 4
+#: Rows of a landed file, which is a micro-batch.
+ROWS_PER_FILE = 2_500
 
 
 def _landed(spark, d, name):
     """Messages in order of arrival, in files that the jobs read one per micro-batch."""
-    return jobs.land_in_order(raw_spot_messages(spark, d), jobs.new_dir(spark, f"{name}-src"), "id", N_BATCHES)
+    messages = raw_spot_messages(spark, d)
+    return jobs.land_in_order(messages, jobs.new_dir(spark, f"{name}-src"), "id", jobs.batches_for(messages, ROWS_PER_FILE))
 
 
 WATERMARK = "400 days"  # arrival order is not time order in the test tables
@@ -93,8 +95,6 @@ def r10_stream_buffer_status(spark, d):
 
 # ---------------------------------------------------------------- R4, R5: live features
 _OTHERS = [c for c in COINS if c != "BTC"]
-#: Rows of a landed file, which is a micro-batch.
-_ROWS_PER_FILE = 2_000
 
 _LIVE_SQL = [VIEW_SQL["quotes"], VIEW_SQL["trades"], f"""msgs AS (
   SELECT *, row_number() OVER (ORDER BY curr_time, kind, id) - 1 AS arrival FROM (
@@ -135,7 +135,7 @@ def _live(spark, d, name):
                        *[nothing.alias(c) for c in ("last_price_dollars", "yes_ask_dollars", "yes_bid_dollars", "floor_strike")], "price", F.lit(0).alias("kind"), "id")
     messages = dense_index(quotes.unionByName(spot), ["curr_time", "kind", "id"], name="arrival").drop("kind", "id")
     src, out, state = (jobs.new_dir(spark, f"{name}-{x}") for x in ("src", "out", "state"))
-    live.land_rows(messages, src, "arrival", _ROWS_PER_FILE)
+    jobs.land_in_order(messages, src, "arrival", jobs.batches_for(messages, ROWS_PER_FILE), "parquet")
     stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(src)
     live.run_live(stream, out, state, "BTC", _OTHERS)
     return out

@@ -36,15 +36,26 @@ def land_messages(df: DataFrame, path: str, files: int = 8) -> str:
     return path
 
 
-def land_in_order(df: DataFrame, path: str, order: str, batches: int) -> str:
-    """Write ``raw`` in ``batches`` files, one after the other in ``order``: the folder of a recorder."""
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
-    part = F.floor((F.col(order) - lo) * batches / max(1, (hi or 0) - (lo or 0) + 1))
-    for i in range(batches):
-        df.where(part == i).select("raw").coalesce(1).write.mode("append").text(path)
+def land_in_order(df: DataFrame, path: str, order: str, batches: int, kind: str = "text") -> str:
+    """Write ``df`` as a recorder would: ``batches`` files of consecutive ``order``, in one job, with ascending times
+    so that a stream reads them in that order. ``text`` files hold the column ``raw`` alone."""
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(batches, order).sortWithinPartitions(order)
+    (ranged.select("raw") if kind == "text" else ranged).write.format(kind).mode("overwrite").save(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    newest = max((fs.getFileStatus(p).getModificationTime() for p in files), default=0)
+    for i, p in enumerate(files):
+        fs.setTimes(p, newest + (i - len(files)) * 1000, -1)
     return path
 
 
+def batches_for(df: DataFrame, rows: int) -> int:
+    """How many micro-batches of about ``rows`` rows ``df`` makes."""
+    return max(1, -(-df.count() // rows))
+
+
 def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
     """Raw message stream -> typed trade rows (P1 routing + P2 parsing), in batches of ``max_files``."""
     r = spark.readStream.schema(RAW_SCHEMA).format("text")

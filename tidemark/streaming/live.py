@@ -134,21 +134,6 @@ def event_features(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
     return named.groupBy("coin", "open_time", "close_time", "event_no").transformWithStateInPandas(Histories(), ROW, "append", "eventTime")
 
 
-def land_rows(df: DataFrame, path: str, order: str, rows_per_file: int) -> str:
-    """Write ``df`` as a recorder would: files of consecutive ``order`` of about ``rows_per_file`` rows (at most
-    twice as many), in one job, with ascending times so that a stream reads them in that order."""
-    spark = df.sparkSession
-    n = max(1, -(-df.count() // rows_per_file))
-    df.repartitionByRange(n, order).sortWithinPartitions(order).write.mode("overwrite").option("maxRecordsPerFile", 2 * rows_per_file).parquet(path)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
-    newest = max((fs.getFileStatus(p).getModificationTime() for p in files), default=0)
-    for i, p in enumerate(files):
-        fs.setTimes(p, newest + (i - len(files)) * 1000, -1)
-    return path
-
-
 # --- R5
 def batches(spark: SparkSession, path: str) -> list[int]:
     """Ids of the batches written under ``path``."""
