@@ -240,7 +240,6 @@ SELECT order_key, line_no, ticker, supp, action,
                  ELSE 'hold' END AS action FROM s)""")
 def g8_exit_rule(spark, d):
     """Per held side: relative stop, else take-profit, else hold."""
-    p = spark.sql("SELECT 1") if False else None  # noqa: F841
     t = tv.ticks(spark, d).select(
         "order_key", "line_no", "ticker", "supp", "mid",
         F.when(F.col("y") == 1, "yes").otherwise("no").alias("side"), (F.col("supp") % 5).cast("double").alias("contracts"),
