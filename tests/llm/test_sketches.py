@@ -1,10 +1,14 @@
 """Fingerprints (2), WARC (7), n-gram join (8), mixing (9) and the pipeline."""
 
 import hashlib
+import math
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import pyarrow.parquet as pq
 import pytest
@@ -246,22 +250,79 @@ def test_components_of_graphs(spark):
 
 
 # --- mixing
+def flow(stock, weights):
+    """Earliest deadline first over all blocks, from a flow in which sources that run out stop: slot, source, block,
+    release, deadline."""
+    bounds, had, now, alive = {s: [Fraction(0)] for s in stock}, dict.fromkeys(stock, Fraction(0)), Fraction(0), set(stock)
+    while alive:
+        total = sum(Fraction(weights[s]) for s in alive)
+        time = min((stock[s] - had[s]) * total / Fraction(weights[s]) for s in alive)
+        for s in alive:
+            rate = Fraction(weights[s]) / total
+            while len(bounds[s]) <= had[s] + rate * time:
+                bounds[s].append(now + (len(bounds[s]) - had[s]) / rate)
+            had[s] += rate * time
+        now += time
+        alive = {s for s in alive if had[s] < stock[s]}
+    jobs = sorted((math.floor(b[k]), math.ceil(b[k + 1]), s, k) for s, b in bounds.items() for k in range(stock[s]))
+    out, ready = [], []
+    for slot in range(len(jobs)):
+        ready = sorted(ready + [(due, s, k, at) for at, due, s, k in jobs if at == slot])
+        due, s, k, at = ready.pop(0)
+        out.append((slot, s, k, at, due))
+    return out
+
+
+def test_schedule_is_that_of_a_plain_simulation():
+    rng = random.Random(2)
+    for _ in range(60):
+        stock = {f"s{i}": rng.randrange(1, 40) for i in range(rng.randrange(1, 12))}
+        weights = {s: rng.choice([rng.random() ** 4 + 1e-4, rng.randrange(1, 6)]) for s in stock}
+        want = flow(stock, weights)
+        (course,) = mixing.courses(stock, weights)
+        assert list(course.span(0, course.slots)) == want
+        for lo in rng.sample(range(course.slots + 1), min(6, course.slots)):
+            given = Counter(s for _, s, *_ in want[:lo])
+            assert course.state(lo) == [given[s] for s in course.names]
+
+
 def test_every_source_stays_within_a_block_of_its_target():
     rng = random.Random(2)
     for _ in range(300):
         stock = {f"s{i}": rng.randrange(0, 300) for i in range(rng.randrange(1, 15))}
         weights = {s: rng.choice([0, rng.random() ** 4 + 1e-4]) for s in stock}
-        plan = mixing.phases(stock, weights, rng.choice([1, 20, 100]))
-        assert {s: sum(p.blocks.get(s, 0) for p in plan) for s in stock} == stock
-        at = 0
-        for p in plan:
-            period = len(p.order)
-            assert p.base == at and sum(p.quota.values()) == period
-            at += sum(p.blocks.values())
+        plan = mixing.courses(stock, weights, rng.choice([None, 1, 20, 100]))
+        assert {s: sum(c.stock[c.names.index(s)] for c in plan if s in c.names) for s in stock} == stock
+        assert [c.base for c in plan] == [0, *[c.slots for c in plan]][:len(plan)]
+        for c in plan:
+            given = Counter()
+            for slot, s, k, at, due in c.span(0, c.slots):
+                assert k == given[s] and at <= slot < due
+                given[s] += 1
+            assert given == Counter(dict(zip(c.names, c.stock, strict=True)))
+            # until a source runs out, the targets are the weights
+            first = min(Fraction(n, w) for n, w in zip(c.stock, c.weight, strict=True)) * c.rate[0]
             given = Counter()
-            for slot, s in enumerate(p.order, 1):
+            for slot, s, *_ in c.span(0, math.floor(first)):
                 given[s] += 1
-                assert all(abs(given[x] - slot * q / period) < 1 for x, q in p.quota.items())
+                assert all(abs(given[x] * c.rate[0] - (slot + 1) * w) < c.rate[0] for x, w in zip(c.names, c.weight, strict=True))
+
+
+def test_driver_holds_a_row_for_each_source():
+    rng = random.Random(4)
+    stock = {f"host{i}": 1 + rng.randrange(400) for i in range(20_000)} | {"hot": 2_000_000}
+    tracemalloc.start()
+    (course,) = mixing.courses(stock, {s: n ** 0.5 for s, n in stock.items()})
+    assert len(pickle.dumps(course)) < 100 * len(stock)
+    given = Counter(dict(zip(course.names, course.state(100_000), strict=True)))
+    for _, s, k, _, _ in course.span(100_000, 104_000):
+        assert k == given[s]
+        given[s] += 1
+    assert dict(zip(course.names, course.state(104_000), strict=True)) == {s: given[s] for s in course.names}
+    (course,) = mixing.courses({"a": 500_000, "b": 500_000, "rare": 2}, {"a": 1.0, "b": 0.7, "rare": 1e-5})
+    assert sum(course.state(300_001)) == 300_001
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
 
 
 def test_every_document_has_one_place(spark, corner_docs, no_docs):
@@ -283,20 +344,14 @@ def test_weights_are_exact_over_many_sources_and_spans():
     many = {f"s{i:04}": 1 + rng.randrange(40) for i in range(1100)} | {"hot": 90_000}
     twenty = {f"s{i}": 100_000 ** 0.5 for i in range(20)} | {"big": 1000.0}
     for weights, slots in ((many, 30_000), (twenty, 200_000)):
-        quota = mixing.whole_weights(weights)
-        period = sum(quota.values())
-        given = Counter()
+        (course,) = mixing.courses(dict.fromkeys(weights, 1 << 30), weights)
+        total, given = course.rate[0], Counter()
         for lo in range(0, slots, 7_000):  # spans on their own continue each other
-            assert mixing.state(quota, lo) == {s: given[s] for s in quota}
-            for slot, s, k in mixing.span(quota, lo, min(lo + 7_000, slots)):
-                assert k == given[s] and mixing.release(k, quota[s], period) <= slot < mixing.deadline(k, quota[s], period)
+            assert course.state(lo) == [given[s] for s in course.names]
+            for slot, s, k, at, due in course.span(lo, min(lo + 7_000, slots)):
+                assert k == given[s] and at <= slot < due
                 given[s] += 1
-        assert all(abs(given[s] * period - slots * q) < period for s, q in quota.items())
-    stock = {s: 1 + 4 * i for i, s in enumerate(twenty)} | {"big": 20_000}
-    plan = mixing.phases(stock, twenty)
-    assert Counter({s: sum(p.blocks.get(s, 0) for p in plan) for s in stock}) == Counter(stock)
-    first = plan[0]
-    assert all(abs(first.blocks[s] - first.slots * twenty[s] / sum(twenty.values())) < 1 for s in twenty)
+        assert all(abs(given[s] * total - slots * w) < total for s, w in zip(course.names, course.weight, strict=True))
 
 
 def test_scheduled_rows_keep_to_the_weights_given(spark):
@@ -314,10 +369,10 @@ def test_scheduled_rows_keep_to_the_weights_given(spark):
 def in_schedule(sources):
     """The sources of rows in the order of the schedule, from the rows' sources."""
     left = Counter(sources)
-    plan = mixing.phases({s: -(-n // mixing.BLOCK) for s, n in left.items()}, {s: n ** 0.5 for s, n in left.items()})
+    plan = mixing.courses({s: -(-n // mixing.BLOCK) for s, n in left.items()}, {s: n ** 0.5 for s, n in left.items()})
     out = []
-    for p in plan:
-        for _, s, _ in mixing.span(p.quota, 0, p.slots):
+    for c in plan:
+        for _, s, *_ in c.span(0, c.slots):
             n = min(left[s], mixing.BLOCK)
             left[s] -= n
             out += [s] * n
