@@ -18,8 +18,8 @@ the smallest document that links lead to.
    prefix shingle, so no link between components is missed; pairs verified before are not verified again.
 6. Components of the verified links, and the smallest document of each.
 7. The number of links of each class: links lie inside components, so the sets of a component are dealt into
-   blocks of bounded size, and every pair of blocks is a group of its own in which all overlaps are counted.
-   No pair is written; copies count by the size of their class.
+   layers by size and these into blocks of bounded size; every pair of blocks whose sizes let sets link is a group
+   of its own in which all overlaps are counted. No pair is written; copies count by the size of their class.
 
 Sets are fetched for the classes of candidate pairs only: a Bloom filter of fixed size with their documents
 picks rows before shingling. Fixed sizes: the sketch and the filter, which the driver sums up and sends to
@@ -28,6 +28,7 @@ the tasks. No text is shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +48,11 @@ SKETCH_BITS = 20
 CHUNKS = 64
 #: Bits of the Bloom filter, a power of two (8 MB).
 BLOOM_BITS = 26
-#: Sets and bytes of sets in a block, about, when the links of a component are counted.
-BLOCK_SETS, BLOCK_BYTES = 256, 16 << 20
+#: When the links of a component are counted: sets and bytes of sets in a block at most, about, and the share of
+#: the square root of a layer's sets that it has as blocks, so that copies grow slowly and many tasks have a part.
+BLOCK_SETS, BLOCK_BYTES, BLOCK_SHARE = 4096, 16 << 20, 1 / 8
+#: Sets of a layer differ in size by less than this ratio; over 4/3, so linked sets lie at most a layer apart.
+LAYER = 1.4
 #: Odd multipliers that set apart the places of a shingle.
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -271,15 +275,26 @@ def link_counts(one: list[np.ndarray], two: list[np.ndarray], rows: np.ndarray)
 
 
 def links_of(docs: DataFrame, members: DataFrame, placed: DataFrame) -> DataFrame:
-    """``cid``, ``n_links``: for each class, how many other rows have a text that links with its."""
+    """``cid``, ``n_links``: for each class, how many other rows have a text that links with its.
+
+    A component's sets are laid in layers by size and the layers cut into blocks as large as a task bears; blocks
+    meet within a layer and with the next one, so a set is copied as often as three layers have blocks."""
     rows = members.where("digest is not null").groupBy(F.col("digest").alias("__d")).agg(F.count("*").alias("rows"), F.min("n").alias("n"))
-    classes = written(placed.join(rows, F.col("digest") == F.col("__d")).drop("__d"), "class-rows")
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, 8 * F.sum("n") / BLOCK_BYTES)).cast("long")
-    comps = classes.groupBy(F.col("comp").alias("__comp")).agg(F.count("*").alias("k"), blocks.alias("blocks")).where("k > 1")
-    several = written(classes.join(comps, F.col("comp") == F.col("__comp"))
-                      .select("digest", "rep", "cid", "comp", "rows", "blocks", F.pmod(F.xxhash64("cid"), "blocks").alias("block")), "classes-to-link")
+    classes = placed.join(rows, F.col("digest") == F.col("__d")).drop("__d")
+    classes = written(classes.withColumn("layer", F.floor(F.log("n") / math.log(LAYER)).cast("long")), "class-rows")
+    blocks = F.ceil(F.greatest(F.sqrt(F.count("*")) * BLOCK_SHARE, F.count("*") / BLOCK_SETS, 8 * F.sum("n") / BLOCK_BYTES)).cast("long")
+    layers = classes.groupBy("comp", "layer").agg(F.count("*").alias("__k"), blocks.alias("__blocks"))
+    by_comp = F.col("comp").alias("__comp")
+    # each layer with its own blocks and its neighbours', in components of several sets
+    near = layers.withColumn("__step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).groupBy(by_comp, (F.col("layer") + F.col("__step")).alias("__layer")).agg(
+        F.sum("__k").alias("__near"), *[F.coalesce(F.max(F.when(F.col("__step") == -d, F.col("__blocks"))), F.lit(0)).alias(f"__at{d + 1}") for d in (-1, 0, 1)])
+    several = written(classes.join(near, (F.col("comp") == F.col("__comp")) & (F.col("layer") == F.col("__layer"))).where("__near > 1 and __at1 > 0")
+                      .withColumn("block", F.pmod(F.xxhash64("cid"), "__at1")).drop("__comp", "__layer", "__near"), "classes-to-link")
     sets = sets_of(docs, several.select("rep").distinct()).dropDuplicates(["digest"])
-    dealt = (several.join(sets, "digest").withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    own = F.shiftleft("layer", 32) + F.col("block")
+    ids = [F.expr(f"transform(sequence(0L, __at{d + 1} - 1), x -> shiftleft(layer + {d}, 32) + x)") for d in (-1, 0, 1)]
+    others = F.concat(*[F.when(F.col(f"__at{i}") > 0, x).otherwise(F.array().cast("array<bigint>")) for i, x in enumerate(ids)])
+    dealt = (several.select("digest", "cid", "comp", "rows", own.alias("block"), F.explode(others).alias("other")).join(sets, "digest")
              .select("cid", "comp", "rows", "block", "members", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
 
     def run(group: pa.Table) -> pa.Table:
