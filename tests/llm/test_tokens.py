@@ -93,3 +93,11 @@ def test_long_texts_are_cut_where_counts_add_up(library, vocabulary):
     assert tokencount.counter(vocabulary).count([text]) == [len(library.encode(text, add_special_tokens=False).ids)]
     assert sum(tokencount.counter(vocabulary).count(parts)) == len(library.encode(text, add_special_tokens=False).ids)
     assert tokencount.sections("y" * 200_000) == ["y" * 200_000]
+
+
+def test_long_words_are_not_remembered(vocabulary):
+    counter = tokencount.JsonCounter(vocabulary)
+    rng = random.Random(6)
+    long = ["".join(rng.choices("abcdefgh", k=5000)) for _ in range(40)]
+    assert counter.count(["a short text " + x for x in long]) == counter.lengths(["a short text " + x for x in long])
+    assert sum(map(len, counter.memo)) < 100 and "a" in counter.memo

@@ -7,7 +7,7 @@ spans it, so the counts of the sections add up to the count of the text. Other v
 rule for every file; their texts stay whole.
 
 Only lengths leave Python; nothing is shuffled. Within a run, words recur, so words are counted once and
-remembered in a memo of bounded size.
+remembered in a memo of a bounded number of short words.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from tidemark.llm.common import without
 #: Bytes of text in one call of the library, and the length from which a text is cut into sections.
 RUN_BYTES = 1 << 20
 SECTION_CHARS = 1 << 16
-#: Words whose counts a worker remembers before it starts afresh.
-MEMO = 600_000
+#: Words whose counts a worker remembers before it starts afresh, and the longest of them in characters.
+MEMO, MEMO_CHARS = 600_000, 64
 #: Fixed value: the white space of byte-level pre-tokens (the Unicode property, spelled out).
 _WS = r"\t-\r \x85\xa0  -     　"
 _SAFE = re.compile(rf"(?<=[^{_WS}])(?=[ \n])")
@@ -89,7 +89,11 @@ class JsonCounter:
         new = list({w for ws in cut for w in ws} - self.memo.keys())
         self.memo.update(zip(new, self.lengths(new), strict=True))
         known = self.memo.__getitem__
-        return [sum(map(known, ws)) for ws in cut]
+        out = [sum(map(known, ws)) for ws in cut]
+        for w in new:
+            if len(w) > MEMO_CHARS:
+                del self.memo[w]
+        return out
 
 
 class TiktokenCounter:
