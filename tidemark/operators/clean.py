@@ -92,10 +92,14 @@ def prepare_trades(trades: DataFrame) -> DataFrame:
 
 
 def fill_within(df: DataFrame, col: str, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Forward fill then backward fill of ``col`` inside each key group, in ``order``."""
+    """Forward fill then backward fill of ``col`` inside each key group, in ``order``.
+
+    Only rows before a group's first known value are left to the backward fill, so it is that value for all of
+    them: one frame over the whole group, where frames that start at each row cost the square of its rows.
+    """
     base = Window.partitionBy(*keys).orderBy(*order)
     fwd = F.last(col, ignorenulls=True).over(base.rowsBetween(Window.unboundedPreceding, 0))
-    bwd = F.first(col, ignorenulls=True).over(base.rowsBetween(0, Window.unboundedFollowing))
+    bwd = F.first(col, ignorenulls=True).over(base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return df.withColumn(col, F.coalesce(fwd, bwd))
 
 
