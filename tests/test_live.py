@@ -113,3 +113,18 @@ def test_stream_equals_a_replay_also_across_a_restart(spark):
         spark.read.schema(live.ROW).parquet(f"{out}/events/batch_id={batch}").collect(), live.ROW)
     live.live_sink(out, "BTC", OTHERS)(kept, batch)
     assert sorted(map(str, spark.read.parquet(f"{out}/cross/batch_id={batch}").collect())) == before
+
+
+def test_runs_in_a_session_with_the_default_state_store(spark):
+    provider, default = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows, before = messages()[:300], spark.conf.get(provider)
+    src, out, state = (jobs.new_dir(spark, f"live-default-{x}") for x in ("src", "out", "state"))
+    jobs.land_in_order(frame(spark, rows), src, "arrival", 2, "parquet")
+    spark.conf.set(provider, default)
+    try:
+        live.run_live(spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(src), out, state, "BTC", OTHERS)
+        assert spark.conf.get(provider) == default  # the session's own setting stays
+    finally:
+        spark.conf.set(provider, before)
+    got = spark.read.schema(live.ROW).parquet(f"{out}/events").collect()
+    assert values(got).keys() == replay(rows)[0].keys()

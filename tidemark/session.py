@@ -7,6 +7,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: What keyed processors (R4, R5) keep their state in; the default provider refuses them.
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every session needs for correct results: UTC everywhere (timestamps are compared
 # to the microsecond), AQE for runtime re-planning and skew splitting, Arrow for pandas UDFs.
 _REQUIRED = {
@@ -15,8 +19,7 @@ _REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_PROVIDER: ROCKSDB,
 }
 
 
