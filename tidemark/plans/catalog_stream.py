@@ -28,7 +28,7 @@ _TRADES_SQL = W([VIEW_SQL["trades"], RAW_SPOT_SQL, """pt AS (
 _TRADE_SCHEMA = "trade_id long, product_id string, price double, size double, side string, sequence long, trade_time timestamp, arrival long"
 
 
-#: Rows of a landed file, which is a micro-batch.
+#: Rows of a landed file, which is a micro-batch; more rows in tables that would make very many.
 ROWS_PER_FILE = 2_500
 
 

@@ -51,9 +51,11 @@ def land_in_order(df: DataFrame, path: str, order: str, batches: int, kind: str
     return path
 
 
-def batches_for(df: DataFrame, rows: int) -> int:
-    """How many micro-batches of about ``rows`` rows ``df`` makes."""
-    return max(1, -(-df.count() // rows))
+def batches_for(df: DataFrame, rows: int, wanted: int = 16, most: int = 500_000) -> int:
+    """How many micro-batches ``df`` makes: of about ``rows`` rows up to ``wanted`` of them, then as many with more
+    rows each, as every micro-batch costs its own commits and tasks; beyond ``most`` rows in one, more again."""
+    n = df.count()
+    return max(1, -(-n // min(most, max(rows, -(-n // wanted)))))
 
 
 def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
@@ -124,7 +126,8 @@ def sequence_gap_alarm(trades: DataFrame) -> DataFrame:
     """Per product and message, in order of arrival, how many sequence numbers were skipped since the
     message before (state = the last number). A number that does not advance gives 0 and is the new last
     one. A key's rows of one micro-batch are put in order of arrival together: Spark hands them over in
-    Arrow chunks of no particular order; a batch is bounded by ``max_files``."""
+    Arrow chunks of no particular order; a batch is bounded by the rows of ``max_files`` files, of which only
+    the columns used here come."""
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
         pdf = pd.concat(list(pdfs)).sort_values("arrival", kind="mergesort")
         seq = pdf["sequence"].to_numpy()
@@ -132,7 +135,7 @@ def sequence_gap_alarm(trades: DataFrame) -> DataFrame:
         gap = np.where(seq > before, seq - before - 1, 0)
         state.update((int(seq[-1]),))
         yield pd.DataFrame({"product_id": key[0], "sequence": seq, "arrival": pdf["arrival"].to_numpy(), "gap": gap})
-    known = trades.where(F.col("sequence").isNotNull() & F.col("product_id").isNotNull())
+    known = trades.where(F.col("sequence").isNotNull() & F.col("product_id").isNotNull()).select("product_id", "sequence", "arrival")
     return known.groupBy("product_id").applyInPandasWithState(
         fn, "product_id string, sequence long, arrival long, gap long", "last_seq long", "append", GroupStateTimeout.NoTimeout)
 
