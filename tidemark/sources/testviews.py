@@ -179,12 +179,19 @@ OUTCOMES_SQL = """outcomes AS (
 
 
 # --------------------------------------------------------------------------- book levels
+#: Rows that a task of the order-book walks holds, about.
+BOOK_ROWS = 100_000
+
+
 def book(spark: SparkSession, d: str) -> DataFrame:
-    """Order-book levels (snapshot_id, side, price, size): resting bids per side."""
-    return (table(spark, d, "lineitem").selectExpr(
+    """Order-book levels (snapshot_id, side, price, size): resting bids per side. The rows are dealt out by snapshot
+    once, in parts of about ``BOOK_ROWS``; grouping, walks and joins by snapshot stay within them, so a task's
+    memory does not grow with the table."""
+    lines = table(spark, d, "lineitem").selectExpr(
         "l_orderkey AS snapshot_id",
         "CASE WHEN l_linestatus = 'O' THEN 'yes' ELSE 'no' END AS side",
         "(1 + floor(l_extendedprice) % 48) / 100 AS price", "l_quantity")
+    return (lines.repartition(max(1, -(-lines.count() // BOOK_ROWS)), "snapshot_id")
         .groupBy("snapshot_id", "side", "price").agg(F.sum("l_quantity").alias("size")))
 
 
