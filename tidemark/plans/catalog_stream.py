@@ -33,23 +33,25 @@ ROWS_PER_FILE = 2_500
 
 
 def _landed(spark, d, name):
-    """Messages in order of arrival, in files that the jobs read one per micro-batch."""
+    """Messages in order of arrival, in files that the jobs read one per micro-batch, and their number."""
     messages = raw_spot_messages(spark, d)
-    return jobs.land_in_order(messages, jobs.new_dir(spark, f"{name}-src"), "id", jobs.batches_for(messages, ROWS_PER_FILE))
+    n = messages.count()
+    return jobs.land_in_order(messages, jobs.new_dir(spark, f"{name}-src"), "id", jobs.batches_for(n, ROWS_PER_FILE)), n
 
 
 WATERMARK = "400 days"  # arrival order is not time order in the test tables
 
 
-def _typed(spark, d, name):
-    return jobs.typed_trade_stream(spark, _landed(spark, d, name), max_files=1)
+def _run(spark, d, name, job=lambda trades: trades, mode="append"):
+    """Run ``job`` on the typed trades of the landed messages; the folder of its batches."""
+    src, rows = _landed(spark, d, name)
+    return jobs.run_available_now(job(jobs.typed_trade_stream(spark, src, max_files=1)), spark, name, mode=mode, rows=rows)
 
 
 @register("r1_stream_typed_trades", _TRADES_SQL + "\nSELECT * FROM pt")
 def r1_stream_typed_trades(spark, d):
     """R1 + R2: message stream -> typed trades via micro-batches into per-batch folders."""
-    out = jobs.run_available_now(_typed(spark, d, "r1"), spark, "r1")
-    return jobs.read_batches(spark, out, _TRADE_SCHEMA).drop("batch_id")
+    return jobs.read_batches(spark, _run(spark, d, "r1"), _TRADE_SCHEMA).drop("batch_id")
 
 
 @register("r3_stream_bars", _TRADES_SQL + f"""
@@ -59,8 +61,7 @@ SELECT replace(product_id, '-USD', '') AS coin,
 FROM pt GROUP BY 1, 2""", ["size_sum"])
 def r3_stream_bars(spark, d):
     """Event-time unit bars with a watermark (update mode, latest version per bar kept)."""
-    bars = jobs.stream_bars(_typed(spark, d, "r3"), UNIT_US, WATERMARK)
-    out = jobs.run_available_now(bars, spark, "r3", mode="update")
+    out = _run(spark, d, "r3", lambda t: jobs.stream_bars(t, UNIT_US, WATERMARK), "update")
     rows = jobs.read_batches(spark, out, "coin string, bar_time timestamp, last_price double, size_sum double, n_trades long")
     return jobs.latest_per_key(rows, ["coin", "bar_time"])
 
@@ -69,9 +70,7 @@ def r3_stream_bars(spark, d):
 SELECT trade_id, count(*) AS n FROM (SELECT DISTINCT trade_id FROM pt) GROUP BY trade_id""")
 def r6_stream_dedupe(spark, d):
     """Repeated trade ids dropped within the watermark (each id kept once)."""
-    dd = jobs.dedupe_stream(_typed(spark, d, "r6"), WATERMARK)
-    out = jobs.run_available_now(dd, spark, "r6")
-    rows = jobs.read_batches(spark, out, _TRADE_SCHEMA)
+    rows = jobs.read_batches(spark, _run(spark, d, "r6", lambda t: jobs.dedupe_stream(t, WATERMARK)), _TRADE_SCHEMA)
     return rows.groupBy("trade_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -80,8 +79,7 @@ SELECT product_id, sequence, arrival, CASE WHEN prev IS NULL THEN 0 WHEN sequenc
 FROM (SELECT *, lag(sequence) OVER (PARTITION BY product_id ORDER BY arrival) AS prev FROM pt WHERE sequence IS NOT NULL)""")
 def r7_stream_sequence_gaps(spark, d):
     """Stateful per-product sequence-gap alarm (state = last sequence number)."""
-    g = jobs.sequence_gap_alarm(_typed(spark, d, "r7"))
-    out = jobs.run_available_now(g, spark, "r7")
+    out = _run(spark, d, "r7", jobs.sequence_gap_alarm)
     return jobs.read_batches(spark, out, "product_id string, sequence long, arrival long, gap long").drop("batch_id")
 
 
@@ -89,7 +87,7 @@ def r7_stream_sequence_gaps(spark, d):
 SELECT replace(product_id, '-USD', '') AS coin, count(*) AS n FROM pt GROUP BY 1""")
 def r10_stream_buffer_status(spark, d):
     """Rows per coin in update mode (latest count per coin)."""
-    out = jobs.run_available_now(jobs.coin_counts(_typed(spark, d, "r10")), spark, "r10", mode="update")
+    out = _run(spark, d, "r10", jobs.coin_counts, "update")
     return jobs.latest_per_key(jobs.read_batches(spark, out, "coin string, n long"), ["coin"])
 
 
@@ -135,9 +133,10 @@ def _live(spark, d, name):
                        *[nothing.alias(c) for c in ("last_price_dollars", "yes_ask_dollars", "yes_bid_dollars", "floor_strike")], "price", F.lit(0).alias("kind"), "id")
     messages = dense_index(quotes.unionByName(spot), ["curr_time", "kind", "id"], name="arrival").drop("kind", "id")
     src, out, state = (jobs.new_dir(spark, f"{name}-{x}") for x in ("src", "out", "state"))
-    jobs.land_in_order(messages, src, "arrival", jobs.batches_for(messages, ROWS_PER_FILE), "parquet")
+    rows = messages.count()
+    jobs.land_in_order(messages, src, "arrival", jobs.batches_for(rows, ROWS_PER_FILE), "parquet")
     stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(src)
-    live.run_live(stream, out, state, "BTC", _OTHERS)
+    live.run_live(stream, out, state, "BTC", _OTHERS, rows)
     return out
 
 

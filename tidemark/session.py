@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-#: What keyed processors (R4, R5) keep their state in; the default provider refuses them.
+#: What streams keep their state in: outside of the heap. The default provider refuses keyed processors.
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Settings every session needs for correct results: UTC everywhere (timestamps are compared
 # to the microsecond), AQE for runtime re-planning and skew splitting, Arrow for pandas UDFs.
@@ -46,6 +50,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with ``values`` for a moment; what it had before comes back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``. Only a local master may go without one (tests):
     it gets a private folder; on a cluster that folder would be seen by one machine alone, so it raises."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators import ledger
 from tidemark.operators.parse import TRADE_MSG
-from tidemark.session import scratch_path
+from tidemark.session import CHANGELOG, PARTITIONS, ROCKSDB, STATE_PROVIDER, scratch_path, settings
 from tidemark.sources import io
 
 RAW_SCHEMA = "raw string"
@@ -51,13 +52,26 @@ def land_in_order(df: DataFrame, path: str, order: str, batches: int, kind: str
     return path
 
 
-def batches_for(df: DataFrame, rows: int, wanted: int = 16, most: int = 500_000) -> int:
-    """How many micro-batches ``df`` makes: of about ``rows`` rows up to ``wanted`` of them, then as many with more
+def batches_for(df: DataFrame | int, rows: int, wanted: int = 16, most: int = 500_000) -> int:
+    """How many micro-batches ``df``, or so many rows, make: of about ``rows`` rows up to ``wanted`` of them, then as many with more
     rows each, as every micro-batch costs its own commits and tasks; beyond ``most`` rows in one, more again."""
-    n = df.count()
+    n = df if isinstance(df, int) else df.count()
     return max(1, -(-n // min(most, max(rows, -(-n // wanted)))))
 
 
+#: Rows of a stream whose state one partition holds, about.
+STATE_ROWS = 500_000
+
+
+def state_settings(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+    """What a stateful stream over about ``rows`` rows starts with. A query takes its state store and the number of
+    its state partitions from the session as it starts and keeps them. Every micro-batch loads, writes and commits
+    each partition, whatever it holds, so there are as many as there are cores until ``rows`` asks for more."""
+    usual, cores = int(spark.conf.get(PARTITIONS)), spark.sparkContext.defaultParallelism
+    parts = max(1, min(usual, cores), -(-rows // STATE_ROWS))
+    return settings(spark, {STATE_PROVIDER: ROCKSDB, CHANGELOG: "true", PARTITIONS: str(parts)})
+
+
 def typed_trade_stream(spark: SparkSession, src: str, max_files: int | None = None) -> DataFrame:
     """Raw message stream -> typed trade rows (P1 routing + P2 parsing), in batches of ``max_files``."""
     r = spark.readStream.schema(RAW_SCHEMA).format("text")
@@ -78,12 +92,13 @@ def batch_sink(out: str):
 
 
 def run_available_now(sdf: DataFrame, spark: SparkSession, name: str, mode: str = "append",
-                      processing_time: str | None = None) -> str:
-    """Run a streaming frame to completion into parquet folders; returns the output folder."""
+                      processing_time: str | None = None, rows: int = 0) -> str:
+    """Run a streaming frame over about ``rows`` rows to completion into parquet folders; returns the output folder."""
     out, ckpt = new_dir(spark, f"{name}-out"), new_dir(spark, f"{name}-ckpt")
     w = sdf.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(batch_sink(out))
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
-    q = w.start()
+    with state_settings(spark, rows):
+        q = w.start()
     q.awaitTermination()
     LATE[out] = sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])
     return out

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.asof import AsofRight, asof_join
-from tidemark.session import ROCKSDB, STATE_PROVIDER
+from tidemark.streaming.jobs import state_settings
 
 # Lengths of the histories, windows, events kept per coin.
 MIDS, CHANGES, SPREADS = 65, 61, 30
@@ -177,19 +177,10 @@ def live_sink(out: str, coin: str, others: Sequence[str]) -> Callable[[DataFrame
     return write
 
 
-def run_live(messages: DataFrame, out: str, checkpoint: str, coin: str, others: Sequence[str]):
-    """Run R4 and R5 over all messages that are there; returns the finished query (its progress). A query takes its
-    state store from the session as it starts, so sessions that were made without RocksDB get it for that moment."""
-    conf, stream = messages.sparkSession.conf, event_features(messages).writeStream.outputMode("append")
-    before = conf.get(STATE_PROVIDER, None)
-    conf.set(STATE_PROVIDER, ROCKSDB)
-    try:
-        query = (stream.foreachBatch(live_sink(out, coin, others))
-                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finally:
-        if before is None:
-            conf.unset(STATE_PROVIDER)
-        else:
-            conf.set(STATE_PROVIDER, before)
+def run_live(messages: DataFrame, out: str, checkpoint: str, coin: str, others: Sequence[str], rows: int = 0):
+    """Run R4 and R5 over all messages that are there, about ``rows``; returns the finished query (its progress)."""
+    stream = event_features(messages).writeStream.outputMode("append").foreachBatch(live_sink(out, coin, others))
+    with state_settings(messages.sparkSession, rows):
+        query = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
