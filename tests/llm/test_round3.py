@@ -72,6 +72,27 @@ def brute_alignment(texts):
     return out
 
 
+@pytest.mark.parametrize("table_bytes", [alignment.TABLE_BYTES, 0])
+def test_alignment_in_small_slices(spark, corner_docs, table_bytes, monkeypatch):
+    """Texts are aligned in slices of their own small size, pairs of many slices are added up before they are handed on."""
+    assert alignment.ALIGN_BYTES <= 4 << 20
+    monkeypatch.setattr(alignment, "ALIGN_BYTES", 200)
+    monkeypatch.setattr(alignment, "HELD_PAIRS", 64)
+    got = alignment.align(corner_docs.coalesce(1), A, B, table_bytes=table_bytes)
+    rows = got.select("text", *alignment.NUMBERS, "groups").collect()
+    assert [tuple(r)[1:] for r in rows] == brute_alignment([r.text for r in rows])
+
+
+def test_units_grow_without_a_copy_of_all():
+    x, rooms = alignment.Grown(np.zeros((1, 2), dtype=np.int64)), set()
+    for i in range(1, 500):
+        x.add(np.full((1, 2), i))
+        rooms.add(len(x.room))
+    assert len(rooms) < 12 and x.seen[:, 0].tolist() == list(range(500))
+    memo = alignment.Memo()
+    assert [memo[u] for u in ("a", "b" * 100, "a", "b" * 100, "c" * 70)] == [0, 1, 0, 1, 2] and memo.long == 170
+
+
 @pytest.mark.parametrize("table_bytes", [alignment.TABLE_BYTES, 0])
 def test_alignment_against_the_libraries(spark, corner_docs, no_docs, table_bytes):
     extra = spark.createDataFrame([(900, "▁ is no space"), (901, "a\r\n b \n\n  c▁"), (902, " leading"), (903, "trailing  "), (904, "\nline"), (905, "x▁y")], "doc_id long, text string")

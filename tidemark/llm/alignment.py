@@ -50,6 +50,8 @@ TABLE_BYTES = 64 << 20
 #: Units that a task remembers, longer ones, which it keeps only while they are few, and pairs that it adds up
 #: before it hands them on.
 MEMO, MEMO_CHARS, HELD_PAIRS = 400_000, 64, 1 << 19
+#: Texts that are aligned at a time, in bytes: what a slice needs besides the memo is many times its text.
+ALIGN_BYTES = 4 << 20
 #: Units are encoded in stretches of about so many characters; groups with more links than this are not spelled out.
 STRETCH_CHARS, LONG_GROUP = 1 << 15, 1 << 12
 #: Bits that hold a pair, as A id times B ids plus B id.
@@ -89,23 +91,45 @@ NONE = np.empty(0, dtype=np.int64)
 BROKEN = Block(np.zeros(1, dtype=bool), np.zeros((1, 4), dtype=np.int64), np.zeros(1, dtype=np.int64), NONE, NONE, [""])
 
 
+class Grown:
+    """A flat array that grows at its end, with room for as much again, so that a slice's units cost no copy of all."""
+
+    def __init__(self, first: np.ndarray) -> None:
+        self.room, self.n = first, len(first)
+
+    @property
+    def seen(self) -> np.ndarray:
+        return self.room[:self.n]
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.n + len(more)
+        if end > len(self.room):
+            room = np.empty((2 * end, *self.room.shape[1:]), dtype=self.room.dtype)
+            room[:self.n] = self.seen
+            self.room = room
+        self.room[self.n:end] = more
+        self.n = end
+
+
 class Units:
     """Units by number: the text of their groups and, in flat arrays, numbers and linked pairs (a << 32 | b) with
     how often each is linked in the unit. A unit whose bytes A or B do not give back is not ``whole``."""
 
     def __init__(self) -> None:
         self.groups: list[str] = []
-        self.whole = np.empty(0, dtype=bool)
-        self.numbers = np.empty((0, 4), dtype=np.int64)  # n_a, n_b, n_groups, n_links
-        self.pairs, self.times = NONE, NONE
-        self.starts = np.zeros(1, dtype=np.int64)
+        # whether whole; n_a, n_b, n_groups, n_links; pairs and times; where a unit's pairs start
+        self.flat = [Grown(x) for x in (np.empty(0, dtype=bool), np.empty((0, 4), dtype=np.int64), NONE, NONE, np.zeros(1, dtype=np.int64))]
+        self.show()
+
+    def show(self) -> None:
+        self.whole, self.numbers, self.pairs, self.times, self.starts = (x.seen for x in self.flat)
 
     def add(self, blocks: list[Block]) -> None:
         """Units of blocks, in order; the pairs of a block are sorted by unit."""
         whole, numbers, n_pairs, pairs, times = (np.concatenate(x) for x in list(zip(*blocks, strict=True))[:5])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n_pairs)])
-        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
-        self.whole, self.numbers = np.concatenate([self.whole, whole]), np.concatenate([self.numbers, numbers])
+        for x, more in zip(self.flat, (whole, numbers, pairs, times, self.starts[-1] + np.cumsum(n_pairs)), strict=True):
+            x.add(more)
+        self.show()
         for b in blocks:
             self.groups += b.groups
 
@@ -117,14 +141,18 @@ class Units:
 
 
 class Memo(dict):
-    """Units by number, in order of appearance; new ones are kept in ``new`` until they are aligned."""
+    """Units by number, in order of appearance; new ones are kept in ``new`` until they are aligned. ``long``: the
+    characters of long ones."""
 
     def __init__(self) -> None:
         self.new: list[str] = []
+        self.long = 0
 
     def __missing__(self, unit: str) -> int:
         n = self[unit] = len(self)
         self.new.append(unit)
+        if len(unit) > MEMO_CHARS:
+            self.long += len(unit)
         return n
 
 
@@ -155,7 +183,7 @@ class Aligner:
 
     def forget(self) -> None:
         self.memo, self.units = Memo(), Units()
-        self.place = np.empty(0, dtype=np.int64)  # of the units by number
+        self.placed = Grown(NONE)  # of the units by number
 
     def units_of(self, text: str) -> list[str]:
         """A space and the text, cut into units that begin with a space or a line feed."""
@@ -203,8 +231,8 @@ class Aligner:
                 blocks.append(BROKEN if block is None else block)
             stretches = again
         place = np.empty(len(new), dtype=np.int64)
-        place[done] = len(self.place) + np.arange(len(new))
-        self.place = np.concatenate([self.place, place])
+        place[done] = self.placed.n + np.arange(len(new))
+        self.placed.add(place)
         self.units.add(blocks)
         new.clear()
 
@@ -283,7 +311,7 @@ def aligned(texts: list[str], aligner: Aligner, with_groups: bool) -> Aligned:
     unit = np.fromiter(map(aligner.memo.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=sum(sizes))
     if aligner.memo.new:
         aligner.learn(with_groups)
-    unit = aligner.place[unit]
+    unit = aligner.placed.seen[unit]
     doc = np.repeat(np.arange(len(texts)), sizes)
     broken = np.zeros(len(texts), dtype=bool)
     broken[doc[~aligner.units.whole[unit]]] = True
@@ -293,7 +321,7 @@ def aligned(texts: list[str], aligner: Aligner, with_groups: bool) -> Aligned:
 
 def settle(aligner: Aligner) -> None:
     """After a batch: forget everything where the memo is full, in units or in the bytes of long ones."""
-    if len(aligner.memo) >= MEMO or sum(len(u) for u in aligner.memo if len(u) > MEMO_CHARS) > STRETCH_CHARS:
+    if len(aligner.memo) >= MEMO or aligner.memo.long > STRETCH_CHARS:
         aligner.forget()
 
 
@@ -432,23 +460,29 @@ def pair_parts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         aligner, task = load(a_path, b_path), TaskContext.get().partitionId()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def rows(turn: int) -> pa.RecordBatch:
+        def together() -> tuple[np.ndarray, np.ndarray]:
             keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             counts = np.zeros(len(keys), dtype=np.int64)
             np.add.at(counts, at, np.concatenate([n for _, n in held]))
-            seg, k, n = zip(*packed_by_segment(keys, counts), strict=True)
+            return keys, counts
+
+        def rows(turn: int) -> pa.RecordBatch:
+            seg, k, n = zip(*packed_by_segment(*together()), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(seg, pa.int32()), pa.array([(task + turn) % SHARES] * len(seg), pa.int32()), pa.array(k, pa.binary()), pa.array(n, pa.binary())],
                                               names=["segment", "share", "keys", "counts"])
 
         turn = size = 0
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", ALIGN_BYTES):
             with no_collector():
                 counts = document_counts(aligned(texts_of(b, "text"), aligner, False), aligner.units)
             if len(counts[0]):
                 held.append(counts)
                 size += len(counts[0])
             settle(aligner)
-            if size >= HELD_PAIRS:
+            if size >= HELD_PAIRS:  # mostly the same pairs again, slice after slice
+                held = [together()]
+                size = len(held[0][0])
+            if size >= HELD_PAIRS // 2 and len(held) == 1:
                 yield rows(turn)
                 held, turn, size = [], turn + 1, 0
         if held:
@@ -568,7 +602,7 @@ def looked_up(docs: DataFrame, a_path: str, b_path: str, table: DataFrame, best:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, (best, rows) = load(a_path, b_path), shared.value
         tables = {s: Table(*x) for s, *x in rows}
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", ALIGN_BYTES):
             with no_collector():
                 got = aligned(texts_of(b, "text"), aligner, True)
                 units, new = aligner.units, base_columns(got, aligner.units)
@@ -600,7 +634,7 @@ def sent_for(docs: DataFrame, a_path: str, b_path: str, table: DataFrame, best:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, task, before = load(a_path, b_path), TaskContext.get().partitionId(), 0
         names = ["doc", "row", *NUMBERS[:4], "groups", *[f.name for f in packed]]
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", ALIGN_BYTES):
             got = aligned(texts_of(b, "text"), aligner, True)
             doc, pairs, times = document_pairs(got, aligner.units)
             k, row = b.num_rows, (task << 40) + before + np.arange(b.num_rows, dtype=np.int64)
