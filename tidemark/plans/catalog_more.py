@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger as lg
@@ -14,6 +16,7 @@ from tidemark.plans import catalog, catalog_market, catalog_trading, catalog_ts
 from tidemark.plans import features as feat
 from tidemark.plans.catalog_trading import _LOTS, _OPEN, _RP, FEE, ORD, W
 from tidemark.registry import REGISTRY, register
+from tidemark.session import scratch_path
 from tidemark.sources import testviews as tv
 from tidemark.sources.testviews import EVENT_US, FILL_ORDER, UNIT_US, VIEW_SQL
 
@@ -109,12 +112,22 @@ def x2_pacf_level(spark, d):
     return p.select("coin", "lag", F.round("pacf", 6).alias("pacf"))
 
 
+def _kept(df, name):
+    """A table of a few rows a coin, written once: what uses it reads these rows instead of planning its scans and
+    shuffles again, which all met in the operators of one task."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:10]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _lags(spark, d):
-    level, diff = _acf(spark, d, "x1_acf_level"), _acf(spark, d, "x1_acf_difference")
-    n0, n1 = _n_obs(spark, d, 0), _n_obs(spark, d, 1)
+    level, diff = (_kept(_acf(spark, d, name), name) for name in ("x1_acf_level", "x1_acf_difference"))
+    n0 = _kept(_n_obs(spark, d, 0), "x3_n_obs")
+    n1 = n0.select("coin", (F.col("n_obs") - 1).alias("n_obs"))
     partial = sheet.pacf(level, "coin").select("coin", "lag", F.round("pacf", 6).alias("pacf"))
-    return (sheet.largest_visible(partial, "coin", "pacf", n0, 3), sheet.largest_visible(level, "coin", "acf", n0, 3),
-            sheet.largest_visible(diff, "coin", "acf", n1, 2), sheet.seasonal_lags(level, "coin"))
+    parts = (sheet.largest_visible(partial, "coin", "pacf", n0, 3), sheet.largest_visible(level, "coin", "acf", n0, 3),
+             sheet.largest_visible(diff, "coin", "acf", n1, 2), sheet.seasonal_lags(level, "coin"))
+    return tuple(_kept(p, f"x3_{k}") for k, p in zip(("ar", "ma", "arima_ma", "seasonal"), parts))
 
 
 _NOBS = "nb AS MATERIALIZED (SELECT coin, count(*) AS n FROM b GROUP BY coin)"
@@ -215,9 +228,7 @@ _CASH = f"""ce AS (
 
 
 def _cash(spark, d):
-    f = tv.fills(spark, d)
-    settled = lg.settle(lg.open_lots(f, FILL_ORDER), tv.outcomes(spark, d)).withColumn("settled_at", F.col("time") + F.expr("INTERVAL 30 DAYS"))
-    return lg.cash_events(f, settled, FILL_ORDER)
+    return lg.cash_events(tv.fills(spark, d), tv.outcomes(spark, d), FILL_ORDER)
 
 
 @register("l10_cash_curve", W([VIEW_SQL["fills"], VIEW_SQL["outcomes"], _RP, _OPEN, _CASH]) + f"""
