@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tidemark.llm import fingerprint, mixing, ngramjoin, quality, warc
 from tidemark.llm.components import components
+from tidemark.session import settings
 
 from .conftest import SF, TEXTS
 from .test_filters import brute_measure
@@ -74,6 +75,24 @@ def test_differences_are_recovered_by_larger_sketches(spark):
     assert fingerprint.differences(pairs.limit(0), ["id"], "a", "b").count() == 0
 
 
+def test_larger_sketches_stay_within_the_buckets(spark, monkeypatch):
+    rng = random.Random(8)
+    sets = [(i % 90, i, [rng.getrandbits(63) for _ in range(i % 150)], [rng.getrandbits(63) for _ in range(i % 70)]) for i in range(300)]
+    plans, write = [], fingerprint.written_bucketed
+
+    def seen(df, key):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, key)
+
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pairs = write(spark.createDataFrame(sets, "id long, row long, a array<bigint>, b array<bigint>"), "id")
+        monkeypatch.setattr(fingerprint, "written_bucketed", seen)
+        got = {(r.id, r.row): r.d for r in fingerprint.differences(pairs, ["id", "row"], "a", "b").collect()}
+    assert got == {(i, r): len(a) + len(b) for i, r, a, b in sets if a or b}
+    assert 1 < len(plans) <= 3  # nearly all pairs are done with the second sketch
+    assert not any("Exchange hashpartitioning" in p for p in plans)
+
+
 # --- WARC
 def pages_frame(spark):
     big = "<p>é" + "x" * 1500

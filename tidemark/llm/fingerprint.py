@@ -9,8 +9,9 @@ pair is tried again with a larger one and other hashes, until nothing remains.
 
 DataFrame functions only. Texts are shuffled once, by id; the versions' digests are written to the shared
 folder in buckets by id, so that cells are grouped within the tasks that read them, without a shuffle, in
-every round and every attempt. An attempt reads only the pairs that failed before; what the driver sees of
-it is their number. A sketch is a function of its set, so retries and lost executors change nothing.
+every round and every attempt. An attempt reads only the pairs that failed before, joined within the buckets,
+and writes one file per bucket; what the driver sees of it is the number of failed pairs. A sketch is a
+function of its set, so retries and lost executors change nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.llm.common import work_path, written
+from tidemark.session import settings
 
 #: Words in a run of a long line.
 RUN = 20
@@ -29,7 +31,15 @@ RUN = 20
 WIDTH = 12
 TABLES = 3
 #: Peeling steps of an attempt, each over one table. Too few only means another attempt.
-STEPS = 12
+STEPS = 9
+#: Cells of a table of the second sketch, as a part of all digests of a pair; every further sketch has twice as
+#: many. Where all digests differ, a cell gets 4/3 on average, and ``STEPS`` steps over large random sets leave
+#: less than one digest in 10**8.
+GROWN = 0.75
+#: Joins by id and other columns stay within the buckets by id.
+WITHIN_BUCKETS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+#: What a text is compared with; a pair has the place in this list.
+KINDS = ["edited", "next"]
 #: Stands for a null id: below every other.
 NO_ID = -(1 << 63)
 
@@ -124,7 +134,7 @@ def differences(pairs: DataFrame, by: list[str], left: str, right: str, with_dig
     todo = pairs
     while True:
         both = F.size("l") + F.size("r")
-        width = F.lit(WIDTH) if attempt == 0 else F.ceil(both * F.lit(0.5 * 2 ** (attempt - 1))) + 4
+        width = F.lit(WIDTH) if attempt == 0 else F.ceil(both * F.lit(GROWN * 2 ** (attempt - 1))) + 4
         rows = todo.select(*by, width.cast("long").alias("width"), F.size("l").alias("k"), F.posexplode(F.concat("l", "r")).alias("i", "key"))
         rows = rows.select(*by, "width", "key", F.when(F.col("i") < F.col("k"), 1).otherwise(-1).cast("long").alias("sign"))
         out = peeled(in_cells(rows, by, attempt), by, attempt, with_digests)
@@ -133,7 +143,8 @@ def differences(pairs: DataFrame, by: list[str], left: str, right: str, with_dig
         got = [got[0].cast("long").alias("d"), F.count(F.when(~is_found, 1)).alias("stuck")]
         if with_digests:
             got.append(F.collect_list(F.when(is_found, F.struct("found", "n"))).alias("digests"))
-        out = written_bucketed(out.groupBy(*by).agg(*got), by[0])
+        with settings(pairs.sparkSession, WITHIN_BUCKETS):
+            out = written_bucketed(out.groupBy(*by).agg(*got), by[0])
         done.append(out.where("stuck = 0").drop("stuck"))
         failed = out.where("stuck > 0").select(*by)
         if failed.isEmpty():
@@ -201,11 +212,14 @@ def compare(docs: DataFrame) -> DataFrame:
     ascending order with null first; rows that repeat an id all have the next larger id's smallest text as
     the next document, and an only id has itself. Other columns are ignored; an empty table gives an empty
     result."""
+    def kind(k: str) -> Column:
+        return F.lit(KINDS.index(k)).cast("tinyint")
+
     rows = versions(docs)
-    pairs = rows.select("id", "row", F.explode(F.array(F.struct(F.lit("edited").alias("kind"), F.col("own").alias("a"), F.col("edited").alias("b")),
-                                                       F.struct(F.lit("next").alias("kind"), F.col("own").alias("a"), F.col("next").alias("b")))).alias("s")).select("id", "row", "s.kind", "s.a", "s.b")
+    pairs = rows.select("id", "row", F.explode(F.array(F.struct(kind("edited").alias("kind"), F.col("own").alias("a"), F.col("edited").alias("b")),
+                                                       F.struct(kind("next").alias("kind"), F.col("own").alias("a"), F.col("next").alias("b")))).alias("s")).select("id", "row", "s.kind", "s.a", "s.b")
     found = differences(pairs, ["id", "row", "kind"], "a", "b")
-    counts = found.groupBy("id", "row").agg(*[F.sum(F.when(F.col("kind") == k, F.col("d")).otherwise(0)).alias(f"d_{k}") for k in ("edited", "next")])
+    counts = found.groupBy("id", "row").agg(*[F.sum(F.when(F.col("kind") == kind(k), F.col("d")).otherwise(0)).alias(f"d_{k}") for k in KINDS])
     out = rows.join(counts, ["id", "row"], "left")
 
     def likeness(k: str) -> Column:
