@@ -41,6 +41,8 @@ def dense_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: st
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_pid", "_first",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if not by:  # one row per partition; rows stay where they are
+        offsets = F.broadcast(offsets)
     return (ranged.join(offsets, [*by, "_pid"])
             .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long"))
             .drop("_mid", "_pid", "_first", "_off"))

@@ -93,6 +93,9 @@ def r10_stream_buffer_status(spark, d):
 
 # ---------------------------------------------------------------- R4, R5: live features
 _OTHERS = [c for c in COINS if c != "BTC"]
+#: Messages of a micro-batch, at most, and of one of its files. A micro-batch of the live features costs some twelve stages
+#: whatever it holds, and its messages are bytes until they are arrays.
+LIVE_ROWS, LIVE_FILE_ROWS = 2_000_000, 250_000
 
 _LIVE_SQL = [VIEW_SQL["quotes"], VIEW_SQL["trades"], f"""msgs AS (
   SELECT *, row_number() OVER (ORDER BY curr_time, kind, id) - 1 AS arrival FROM (
@@ -134,9 +137,11 @@ def _live(spark, d, name):
     messages = dense_index(quotes.unionByName(spot), ["curr_time", "kind", "id"], name="arrival").drop("kind", "id")
     src, out, state = (jobs.new_dir(spark, f"{name}-{x}") for x in ("src", "out", "state"))
     rows = messages.count()
-    jobs.land_in_order(messages, src, "arrival", jobs.batches_for(rows, ROWS_PER_FILE), "parquet")
-    stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", 1).parquet(src)
-    live.run_live(stream, out, state, "BTC", _OTHERS, rows)
+    batches = jobs.batches_for(rows, ROWS_PER_FILE, most=LIVE_ROWS)
+    files = max(1, -(-rows // (batches * LIVE_FILE_ROWS)))
+    jobs.land_in_order(messages, src, "arrival", batches * files, "parquet")
+    stream = spark.readStream.schema(live.MESSAGE).option("maxFilesPerTrigger", files).parquet(src)
+    live.run_live(stream, out, state, "BTC", _OTHERS)
     return out
 
 
